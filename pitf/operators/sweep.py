@@ -175,7 +175,7 @@ def median_prior_events(transactions: DataFrame, grid: DataFrame) -> DataFrame:
     months = month_sequence(F.greatest("since", "bounds.lo"), F.least("until", "bounds.hi"))
     spread = held.select("seen", "customers", F.explode(months).alias("cutoff"))
     return spread.groupBy("cutoff").agg(
-        F.percentile("seen", 0.5, "customers").alias("median_prior_txn_per_customer"))
+        F.percentile("seen", 0.5, F.col("customers")).alias("median_prior_txn_per_customer"))
 
 
 def cutoff_feasibility(customers: DataFrame, transactions: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
