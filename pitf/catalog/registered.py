@@ -6,10 +6,13 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitf.catalog import feature_queries, metric_queries, monitor_queries, registry_queries, sweep_queries
+from pitf.catalog import (
+    feature_queries, metric_queries, model_queries, monitor_queries, registry_queries, source_queries, sweep_queries,
+)
 from pitf.session import prepare
 
-GROUPS = (feature_queries, sweep_queries, metric_queries, registry_queries, monitor_queries)
+GROUPS = (source_queries, feature_queries, sweep_queries, metric_queries, registry_queries, model_queries,
+          monitor_queries)
 
 
 def _run(query: Callable[[SparkSession, str], DataFrame], spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,23 +31,24 @@ def running_totals(df: DataFrame, order: Sequence[tuple[str, bool]], measures: d
         "slices",
     )
 
-    earlier = Window.partitionBy(*groups).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*groups)
-    slice_sums = placed.groupBy(*groups, "_slice").agg(*[F.sum(m).alias(m) for m in measures])
+    # A struct compares its NULL fields as equal, so rows of a NULL group find their offset.
+    # Join and window then use the same keys and share one shuffle.
+    place = ["_slice"]
+    if groups:
+        placed = placed.withColumn("_group", F.struct(*groups))
+        place = ["_group", "_slice"]
+    earlier = Window.partitionBy(*place[:-1]).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*place[:-1])
+    slice_sums = placed.groupBy(*place).agg(*[F.sum(m).alias(m) for m in measures])
     offsets = slice_sums.select(
-        *[F.col(g).alias(f"_g_{g}") for g in groups],
-        F.col("_slice").alias("_at"),
+        *place,
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_{m}_before") for m in measures],
         *[F.sum(m).over(whole).alias(f"{m}_total") for m in measures],
     )
-    same = F.col("_slice") == F.col("_at")
-    for g in groups:
-        same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
-
-    inside = (Window.partitionBy(*groups, "_slice")
+    inside = (Window.partitionBy(*place)
               .orderBy(*keys[len(groups):])
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    out = placed.join(offsets, same, "inner").withColumns(
+    out = placed.join(offsets, place).withColumns(
         {f"{m}_cum": F.sum(m).over(inside) + F.col(f"_{m}_before") for m in measures}
     )
-    return out.drop("_slice", "_at", *[f"_g_{g}" for g in groups], *[f"_{m}_before" for m in measures])
+    return out.drop(*place, *[f"_{m}_before" for m in measures])

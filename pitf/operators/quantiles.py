@@ -2,11 +2,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitf.operators.prefix import running_totals
+from pitf.session import materialise
+
+# Rank accuracy of the approximate quantiles that bracket the exact ones.
+ACCURACY = 10000
 
 
 def discrete_quantile(df: DataFrame, value: Column, q: float) -> DataFrame:
@@ -27,21 +32,31 @@ def discrete_quantile(df: DataFrame, value: Column, q: float) -> DataFrame:
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: Sequence[str] = ()) -> DataFrame:
     """(groups, prob, quantile) with linear interpolation between order statistics.
 
-    Unlike an exact percentile aggregate, which holds every distinct value of a
-    group in one task, equal values are counted first and ranks come from
-    running totals over a range-partitioned order.
+    An exact percentile aggregate would hold every distinct value of a group in
+    one task. Here a first pass brackets each quantile between two approximate
+    ones; a second pass counts the rows between brackets and keeps values only
+    inside them, a fraction of about ``8 / ACCURACY`` per quantile. Running
+    totals over what is left give exact ranks.
     """
-    groups = list(groups)
-    counts = (df.where(F.col(value).isNotNull()).groupBy(*groups, value)
-              .agg(F.count(F.lit(1)).alias("rows")))
-    ranked = running_totals(counts, [(value, True)], {"n": F.col("rows")}, groups)
+    groups, probs = list(groups), [float(p) for p in probs]
+    rows = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
+    bracketed, low, high = _with_brackets(rows, probs, groups)
+
+    v = F.col("_v")
+    inside = reduce(Column.__or__, [(v >= lo) & (v <= hi) for lo, hi in zip(low, high)])
+    # A row between brackets is counted right after the highest bracket below it.
+    below = [F.lit(float("-inf")), F.lit(float("-inf"))] + [F.when(hi < v, hi) for hi in high]
+    counts = bracketed.select(
+        *groups, F.when(inside, v).otherwise(F.greatest(*below)).alias("_at"), (~inside).alias("_gap"),
+    ).groupBy(*groups, "_at", "_gap").agg(F.count(F.lit(1)).alias("rows"))
+    ranked = running_totals(counts, [("_at", True), ("_gap", True)], {"n": F.col("rows")}, groups)
 
     first, last = F.col("n_cum") - F.col("n"), F.col("n_cum") - 1
-    position = [(F.col("n_total") - 1) * F.lit(float(p)) for p in probs]
+    position = [(F.col("n_total") - 1) * F.lit(p) for p in probs]
     hits = F.filter(
         F.array(*[
             F.struct(
-                F.lit(float(p)).alias("prob"),
+                F.lit(p).alias("prob"),
                 F.floor(pos).between(first, last).alias("is_low"),
                 F.ceil(pos).between(first, last).alias("is_high"),
                 (pos - F.floor(pos)).alias("weight"),
@@ -50,10 +65,40 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
         ]),
         lambda h: h["is_low"] | h["is_high"],
     )
-    ends = (ranked.select(*groups, F.col(value).cast("double").alias("_v"), F.explode(hits).alias("h"))
+    found = F.when(F.col("_gap"), F.raise_error(F.lit("quantile outside its bracket")).cast("double")).otherwise(
+        F.col("_at"))
+    hit_rows = ranked.select(*groups, "_at", "_gap", F.explode(hits).alias("h"))
+    ends = (hit_rows.select(*groups, "h", found.alias("_v"))
             .groupBy(*groups, F.col("h.prob").alias("prob"))
             .agg(F.max(F.when(F.col("h.is_low"), F.col("_v"))).alias("low"),
                  F.max(F.when(F.col("h.is_high"), F.col("_v"))).alias("high"),
                  F.max("h.weight").alias("weight")))
     return ends.select(
         *groups, "prob", (F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")).alias("quantile"))
+
+
+def _with_brackets(rows: DataFrame, probs: list[float], groups: list[str]) -> tuple[DataFrame, list[Column], list[Column]]:
+    """Rows with a lower and an upper bound column per quantile.
+
+    The approximate ranks are off by at most ``1 / ACCURACY`` of the rows; four
+    times that is kept on either side, at least three rows more than needed. Groups
+    too small for that are kept whole. The bounds are written first: one short row
+    per group, whose known size lets Spark broadcast it when it is small.
+    """
+    slack = 4.0 / ACCURACY
+    asked = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
+    cuts = materialise(
+        rows.groupBy(*groups).agg(
+            F.struct(F.percentile_approx("_v", asked, ACCURACY).alias("at"),
+                     (F.count(F.lit(1)) <= ACCURACY).alias("small")).alias("_cuts")), "brackets")
+
+    def cut(p: float, outer: float) -> Column:
+        if not 0.0 < p < 1.0:
+            return F.lit(outer)
+        return F.when(F.col("_cuts.small"), F.lit(outer)).otherwise(F.get("_cuts.at", asked.index(p)))
+
+    low = [cut(max(0.0, p - slack), float("-inf")) for p in probs]
+    high = [cut(min(1.0, p + slack), float("inf")) for p in probs]
+    if groups:
+        return rows.join(cuts, groups), low, high
+    return rows.withColumn("_cuts", cuts.scalar()), low, high

@@ -1,6 +1,7 @@
 """Raw customer tables: schemas, readers, typed promotion and audits."""
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,9 +66,9 @@ def read_raw_table(spark: SparkSession, raw_dir: str, key: str) -> DataFrame:
     return df.withColumns(parsed)
 
 
-def read_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """All four raw tables; transactions and interactions without a usable time are dropped."""
-    raw = {key: read_raw_table(spark, raw_dir, key) for key in RAW_FILES}
+def read_raw(spark: SparkSession, raw_dir: str, keys: Iterable[str] = RAW_FILES) -> dict[str, DataFrame]:
+    """The raw tables; transactions and interactions without a usable time are dropped."""
+    raw = {key: read_raw_table(spark, raw_dir, key) for key in keys}
     return {key: df.where(F.col(EVENT_TIME[key]).isNotNull()) if key in EVENT_TIME else df
             for key, df in raw.items()}
 
@@ -78,13 +79,13 @@ def typed_projection(df: DataFrame, key: str) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in table_schema(key)])
 
 
-def promote(spark: SparkSession, raw_dir: str, target_dir: str) -> dict[str, str]:
+def promote(spark: SparkSession, raw_dir: str, target_dir: str, keys: Iterable[str] = RAW_FILES) -> dict[str, str]:
     """Load each CSV once into a typed Parquet table; later reads then prune and push down."""
     paths = {}
-    for key, file_name in RAW_FILES.items():
+    for key in keys:
         text = T.StructType([T.StructField(f.name, T.StringType()) for f in table_schema(key)])
         paths[key] = f"{target_dir.rstrip('/')}/{key}"
-        typed = typed_projection(read_delimited(spark, f"{raw_dir.rstrip('/')}/{file_name}", text), key)
+        typed = typed_projection(read_delimited(spark, f"{raw_dir.rstrip('/')}/{RAW_FILES[key]}", text), key)
         typed.write.mode("overwrite").parquet(paths[key])
     return paths
 
