@@ -6,7 +6,7 @@ the Spark side computes the same thing.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitf.operators.features import DAYS_PER_YEAR, FEATURE_COLUMNS
@@ -31,6 +31,16 @@ TABLES = {
         ts - INTERVAL {EVENT_SHIFT_DAYS} DAY AS interaction_date FROM events""",
 }
 
+MONEY = {"total_credit_limit": 2, "txn_amount_sum": 2, "closing_balance_last": 2}
+# Means of cent amounts often end in an exact 5 where rounding would hang on the
+# order of addition; a shift far below the last digit shown decides such ties.
+MEANS = {"txn_amount_mean", "avg_amount", "avg_closing_balance"}
+MEAN_PLACES, TIE_SHIFT = 4, 1.3e-7
+
+
+def mean_sql(expression: str, name: str) -> str:
+    return f"round(CAST({expression} AS DOUBLE) + {TIE_SHIFT}, {MEAN_PLACES}) AS {name}"
+
 
 def with_ctes(body: str, **ctes: str) -> str:
     """``body`` behind the table mapping and further named subqueries, in order."""
@@ -59,8 +69,9 @@ def feature_ctes(cut: str, suffix: str = "") -> dict[str, str]:
     zero["tenure_days"] = "greatest(coalesce(tenure, 0), 0)"
     zero["age_years"] = (f"coalesce(age_days, (SELECT quantile_disc(age_days, 0.5) FROM demo{s}), 0) "
                          f"/ CAST({DAYS_PER_YEAR} AS DOUBLE)")
-    places = {"total_credit_limit": 2, "txn_amount_sum": 2, "closing_balance_last": 2}
-    columns = ", ".join(f"round(CAST({zero[c]} AS DOUBLE), {places.get(c, 6)}) AS {c}" for c in FEATURE_COLUMNS)
+    columns = ", ".join(
+        mean_sql(zero[c], c) if c in MEANS else f"round(CAST({zero[c]} AS DOUBLE), {MONEY.get(c, 6)}) AS {c}"
+        for c in FEATURE_COLUMNS)
     return {
         f"demo{s}": f"""SELECT customer_id, {days('signup_date')} AS tenure, {days('date_of_birth')} AS age_days,
             CASE WHEN lower(gender) = 'female' THEN 1 ELSE 0 END AS is_female FROM customers""",
@@ -121,7 +132,6 @@ LABELS = label_ctes(DEFAULT_CUT, WINDOW)
 RECENCY_SCORE = "last_txn_recency_days / (last_txn_recency_days + 365.0::DOUBLE)"
 SCORED = {"scored": f"""SELECT customer_id, churn, {RECENCY_SCORE} AS churn_score
     FROM labels JOIN features USING (customer_id)"""}
-MONEY = {"total_credit_limit": 2, "txn_amount_sum": 2, "closing_balance_last": 2}
 
 
 def recency_score():
@@ -132,8 +142,15 @@ def recency_score():
 def rounded(df: DataFrame, places: int = 6, money: dict[str, int] | None = None) -> DataFrame:
     """Round every double column, so sums taken in another order compare equal."""
     money = money or {}
-    return df.select(*[
-        F.round(c, money.get(c, places)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+    def shown(name: str, kind: str) -> Column:
+        if kind != "double":
+            return F.col(name)
+        if name in MEANS:
+            return F.round(F.col(name) + F.lit(TIE_SHIFT), MEAN_PLACES).alias(name)
+        return F.round(name, money.get(name, places)).alias(name)
+
+    return df.select(*[shown(c, t) for c, t in df.dtypes])
 
 
 def as_text(df: DataFrame, *names: str) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pitf.catalog.common import (
-    DEFAULT_CUT, FEATURES, LABELS, MONEY, as_bigint, label_ctes, rounded, with_ctes,
+    DEFAULT_CUT, FEATURES, LABELS, MONEY, as_bigint, label_ctes, mean_sql, rounded, with_ctes,
 )
 from pitf.functions.timeutil import cutoff_col, days_earlier, elapsed_days
 from pitf.operators import features as ft
@@ -144,8 +144,8 @@ QUERIES = {
             FROM crm""")),
     "enrollment_profile": (enrollment_profile, with_ctes(f"SELECT {_PROFILE_ROUND} FROM enr", **FEATURES)),
     "transaction_profile": (transaction_profile, with_ctes(
-        """SELECT customer_id, txn_count, round(txn_amount_sum, 2) AS txn_amount_sum,
-           round(txn_amount_mean, 6) AS txn_amount_mean, round(coalesce(txn_amount_std, 0), 6) AS txn_amount_std,
+        f"""SELECT customer_id, txn_count, round(txn_amount_sum, 2) AS txn_amount_sum,
+           {mean_sql("txn_amount_mean", "txn_amount_mean")}, round(coalesce(txn_amount_std, 0), 6) AS txn_amount_std,
            round(closing_balance_last, 2) AS closing_balance_last, last_txn_recency_days, first_txn_age_days,
            coalesce(txn_count_30d, 0) AS txn_count_30d, coalesce(txn_count_90d, 0) AS txn_count_90d, active_months
            FROM tx LEFT JOIN last_row USING (customer_id) LEFT JOIN c30 USING (customer_id)

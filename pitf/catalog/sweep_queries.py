@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitf.catalog.common import MONEY, as_bigint, as_text, feature_ctes, label_ctes, rounded, with_ctes
+from pitf.catalog.common import MONEY, as_bigint, as_text, feature_ctes, label_ctes, mean_sql, rounded, with_ctes
 from pitf.catalog.feature_queries import FEATURE_LIST
 from pitf.operators import cutoff as ct
 from pitf.operators import sweep as sw
@@ -24,8 +24,7 @@ HELD_RUN = "1999-02-15"
 
 
 def monthly_activity_profile(spark: SparkSession, sf: str) -> DataFrame:
-    money = {c: 4 for c in ("total_amount", "avg_amount", "median_amount", "avg_closing_balance",
-                            "median_closing_balance")}
+    money = {c: 3 for c in ("total_amount", "median_amount", "median_closing_balance")}
     return rounded(as_text(sw.monthly_activity_profile(st.transactions(spark, sf)), "month"), money=money)
 
 
@@ -232,10 +231,10 @@ _PRIOR_CTES = {
 
 QUERIES = {
     "monthly_activity_profile": (monthly_activity_profile, with_ctes(
-        """SELECT strftime(month, '%Y-%m-%d') AS month, transactions, active_users,
-           round(total_amount, 4) AS total_amount, round(avg_amount, 4) AS avg_amount,
-           round(median_amount, 4) AS median_amount, round(avg_closing_balance, 4) AS avg_closing_balance,
-           round(median_closing_balance, 4) AS median_closing_balance,
+        f"""SELECT strftime(month, '%Y-%m-%d') AS month, transactions, active_users,
+           round(total_amount, 3) AS total_amount, {mean_sql("avg_amount", "avg_amount")},
+           round(median_amount, 3) AS median_amount, {mean_sql("avg_closing_balance", "avg_closing_balance")},
+           round(median_closing_balance, 3) AS median_closing_balance,
            round(transactions / CAST(active_users AS DOUBLE), 6) AS txn_per_active_user,
            round(transactions / CAST(lag(transactions) OVER o AS DOUBLE) - 1, 6) AS transaction_growth_pct,
            round(active_users / CAST(lag(active_users) OVER o AS DOUBLE) - 1, 6) AS active_user_growth_pct
