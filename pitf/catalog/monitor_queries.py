@@ -1,8 +1,6 @@
 """Predictions, score drift and feature drift on deterministic scores."""
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from pitf.catalog.feature_queries import _features
 from pitf.operators import drift as dr
 from pitf.operators import scoring as sc
 from pitf.operators.features import FEATURE_COLUMNS
-from pitf.session import scratch_path
+from pitf.session import materialise, scratch_path
 from pitf.sources import sample_tables as st
 from pitf.sources.sample_tables import CUTOFF, LATER_CUTOFF
 from pitf.sources.tables import conform, read_table, write_table
@@ -54,14 +52,17 @@ def scored_partition_count(spark: SparkSession, sf: str) -> DataFrame:
     return scored.groupBy("scored_date", "model_version").agg(F.count(F.lit(1)).alias("scored"))
 
 
-def _staggered(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers leave the scored base at different dates, so the newest one varies."""
-    days = [_predictions(spark, sf, d).where(F.col("customer_id") % 3 >= i) for i, d in enumerate(SCORED_DATES)]
-    return reduce(DataFrame.unionByName, days)
+def _scored_on_order_days(spark: SparkSession, sf: str) -> DataFrame:
+    """One prediction per customer and order day, so the newest date differs by customer."""
+    days = st.transactions(spark, sf).groupBy(
+        "customer_id", F.date_format("transaction_date", "yyyy-MM-dd").alias("scored_date")
+    ).agg(F.max("transaction_amount").alias("largest"))
+    return days.select("customer_id", (F.col("largest") / (F.col("largest") + F.lit(100000.0))).alias("churn_score"),
+                       F.lit("spend v1").alias("model_version"), F.col("scored_date").alias("scored_at"), "scored_date")
 
 
 def latest_predictions(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(sc.latest_predictions(_staggered(spark, sf)))
+    return rounded(sc.latest_predictions(_scored_on_order_days(spark, sf)))
 
 
 def prediction_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -84,28 +85,32 @@ def baseline_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def score_bin_edges(spark: SparkSession, sf: str) -> DataFrame:
-    edges = dr.bin_edges(_monitored(spark, sf, CUTOFF), "score")
+    edges = dr.bin_edges(_baseline(spark, sf), "score")
     return rounded(edges.select(F.posexplode("edges").alias("position", "edge")).select(
         F.col("position").cast("bigint").alias("position"), "edge"))
 
 
 def score_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    edges = dr.bin_edges(_monitored(spark, sf, CUTOFF), "score")
+    edges = dr.bin_edges(_baseline(spark, sf), "score")
     return as_bigint(dr.histogram(_monitored(spark, sf, LATER_CUTOFF), "score", edges))
 
 
+def _baseline(spark: SparkSession, sf: str) -> DataFrame:
+    return materialise(_monitored(spark, sf, CUTOFF), "drift_baseline")
+
+
 def score_drift(spark: SparkSession, sf: str) -> DataFrame:
-    drift = dr.psi(_monitored(spark, sf, CUTOFF), _monitored(spark, sf, LATER_CUTOFF), "score")
+    drift = dr.psi(_baseline(spark, sf), _monitored(spark, sf, LATER_CUTOFF), "score")
     return rounded(dr.drift_decision(drift))
 
 
 def score_drift_none(spark: SparkSession, sf: str) -> DataFrame:
-    same = _monitored(spark, sf, CUTOFF)
+    same = _baseline(spark, sf)
     return rounded(dr.drift_decision(dr.psi(same, same, "score")))
 
 
 def score_drift_constant(spark: SparkSession, sf: str) -> DataFrame:
-    flat = _monitored(spark, sf, CUTOFF).withColumn("score", F.lit(0.5))
+    flat = _baseline(spark, sf).withColumn("score", F.lit(0.5))
     return rounded(dr.drift_decision(dr.psi(flat, _monitored(spark, sf, LATER_CUTOFF), "score")))
 
 
@@ -119,7 +124,9 @@ def amount_drift(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def feature_drift(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(dr.feature_psi(_features(spark, sf), _features(spark, sf, LATER_CUTOFF), FEATURE_COLUMNS))
+    """Two stored snapshots, feature by feature."""
+    before, after = (materialise(_features(spark, sf, d), "features") for d in (CUTOFF, LATER_CUTOFF))
+    return rounded(dr.feature_psi(before, after, FEATURE_COLUMNS))
 
 
 def psi_ctes(baseline: str, current: str, group: str = "'all'") -> dict[str, str]:
@@ -158,7 +165,9 @@ def _prediction_sql(i: int, version: str = VERSION) -> str:
 
 
 REWRITTEN = " UNION ALL ".join([_prediction_sql(0), _prediction_sql(1, "recency v2"), _prediction_sql(2)])
-STAGGERED = " UNION ALL ".join(f"{_prediction_sql(i)} WHERE customer_id % 3 >= {i}" for i in range(3))
+ORDER_DAYS = """SELECT customer_id, max(transaction_amount) / (max(transaction_amount) + 100000.0::DOUBLE) AS churn_score,
+    'spend v1' AS model_version, strftime(transaction_date, '%Y-%m-%d') AS scored_date
+    FROM transactions GROUP BY customer_id, strftime(transaction_date, '%Y-%m-%d')"""
 
 QUERIES = {
     "score_base": (score_base, with_ctes(_prediction_sql(0), **_DATED)),
@@ -166,9 +175,9 @@ QUERIES = {
     "scored_partition_count": (scored_partition_count, with_ctes(
         "SELECT '1998-09-01' AS scored_date, 'recency v2' AS model_version, count(*) AS scored FROM customers")),
     "latest_predictions": (latest_predictions, with_ctes(
-        """SELECT customer_id, churn_score, model_version, scored_at, scored_date FROM (
-           SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY scored_date DESC) AS place FROM p)
-           WHERE place = 1""", **_DATED, p=STAGGERED)),
+        """SELECT customer_id, round(churn_score, 6) AS churn_score, model_version, scored_date AS scored_at, scored_date
+           FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY scored_date DESC) AS place FROM p)
+           WHERE place = 1""", p=ORDER_DAYS)),
     "prediction_lookup": (prediction_lookup, with_ctes(
         "SELECT * FROM p WHERE customer_id = 17 ORDER BY scored_date DESC LIMIT 1", **_DATED, p=REWRITTEN)),
     "scoring_population": (scoring_population, with_ctes(

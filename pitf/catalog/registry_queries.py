@@ -80,11 +80,11 @@ def gate_decisions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def registry_alias_move(spark: SparkSession, sf: str) -> DataFrame:
-    """Champion moves to the best version of every third supplier, champions elsewhere stay."""
+    """Champion moves to a supplier's best version where that lifts enough; champions elsewhere stay."""
     history = registry_history(spark, sf)
     best = Window.partitionBy("model_name").orderBy(F.desc_nulls_last("roc_auc"), "version")
     targets = (history.withColumn("place", F.row_number().over(best)).where("place = 1")
-               .where(F.substring_index("model_name", "-", -1).cast("int") % 3 == 0).select("model_name", "version"))
+               .where("ap_lift_over_base >= 1.17").select("model_name", "version"))
     return _shown(reg.move_alias(history, targets).select("model_name", "version", "alias"))
 
 
@@ -145,7 +145,7 @@ QUERIES = {
     "gate_decisions": (gate_decisions, with_ctes("SELECT * FROM gate", **CTES)),
     "registry_alias_move": (registry_alias_move, with_ctes(alias_sql(
         """SELECT model_name, version FROM (SELECT *, row_number() OVER (PARTITION BY model_name
-           ORDER BY roc_auc DESC NULLS LAST, version) AS place FROM registry) WHERE place = 1 AND l_suppkey % 3 = 0"""),
+           ORDER BY roc_auc DESC NULLS LAST, version) AS place FROM registry) WHERE place = 1 AND ap_lift_over_base >= 1.17"""),
         **CTES)),
     "registry_promoted": (registry_promoted, with_ctes(alias_sql("SELECT model_name, version FROM gate WHERE promote"),
                                                        **CTES)),

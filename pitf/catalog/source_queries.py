@@ -12,7 +12,8 @@ from pitf.sources import raw, tables
 from pitf.sources import sample_tables as st
 
 # Column counts of the given tables, as the oracle cannot see a view's width portably.
-WIDTHS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6}
+WIDTHS = {"region": 2, "nation": 3, "customer": 5, "supplier": 4, "part": 6, "orders": 6, "lineitem": 11, "events": 6,
+          "documents": 5, "embeddings": 3, "pages": 3, "benchmark": 2, "labels": 3, "conversations": 4}
 
 
 def _spoil(value: Column, key: Column, every: int, junk: str) -> Column:
@@ -113,12 +114,12 @@ def mixed_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def column_added(spark: SparkSession, sf: str) -> DataFrame:
-    """A partitioned table whose later partition has one column more."""
+    """A partitioned table whose later partitions have one column more."""
     path = scratch_path(spark, "profiles")
     rows = st.transactions(spark, sf).select(
         "transaction_id", "transaction_amount", F.year("transaction_date").cast("string").alias("year"))
-    tables.write_table(rows.where("year = '1996'"), path, partition_by="year")
-    later = rows.where("year = '1997'").withColumn("is_large", F.col("transaction_amount") > 100000)
+    tables.write_table(rows.where("year < '1998'"), path, partition_by="year")
+    later = rows.where("year >= '1998'").withColumn("is_large", F.col("transaction_amount") > 100000)
     tables.write_table(later, path, partition_by="year")
     merged = tables.read_table(spark, path, merge_schema=True)
     return rounded(merged.withColumn("year", F.col("year").cast("bigint")), 2)
@@ -170,8 +171,8 @@ QUERIES = {
            FROM transactions""")),
     "column_added": (column_added, with_ctes(
         """SELECT transaction_id, round(transaction_amount, 2) AS transaction_amount, year(transaction_date) AS year,
-           CASE WHEN year(transaction_date) = 1997 THEN transaction_amount > 100000 END AS is_large
-           FROM transactions WHERE year(transaction_date) IN (1996, 1997)""")),
+           CASE WHEN year(transaction_date) >= 1998 THEN transaction_amount > 100000 END AS is_large
+           FROM transactions""")),
     "table_replaced": (table_replaced, with_ctes(
         """SELECT transaction_id, round(closing_balance, 2) AS closing_balance, round(closing_balance, 0) AS rounded
            FROM transactions""")),

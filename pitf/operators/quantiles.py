@@ -36,7 +36,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
     one task. Here a first pass brackets each quantile between two approximate
     ones; a second pass counts the rows between brackets and keeps values only
     inside them, a fraction of about ``8 / ACCURACY`` per quantile. Running
-    totals over what is left give exact ranks.
+    totals over what is left give exact ranks. ``df`` is read twice, so a costly
+    one should be a stored table.
     """
     groups, probs = list(groups), [float(p) for p in probs]
     rows = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")

@@ -29,8 +29,9 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/pitf-{uuid.uuid4().hex}/{name}"
+    """A fresh path below the shared folder, in one folder per application, so that
+    everything a finished application left behind can be dropped at once."""
+    return f"{shared_root(spark)}/pitf-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}/{name}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
