@@ -19,7 +19,8 @@ FEATURE_LIST = ", ".join(FEATURE_COLUMNS)
 
 
 def demographics(spark: SparkSession, sf: str) -> DataFrame:
-    return as_bigint(ft.demographics(st.customers(spark, sf), CUTOFF).withColumn("age_days", F.col("age_days").cast("double")))
+    demo = ft.demographics(st.customers(spark, sf), CUTOFF)
+    return as_bigint(demo.withColumn("age_days", F.col("age_days").cast("double")))
 
 
 def event_ages(spark: SparkSession, sf: str) -> DataFrame:

@@ -39,7 +39,8 @@ def export_raw(spark: SparkSession, sf: str, keys: Iterable[str] = raw.RAW_FILES
             pid, cid, "product_type", _spoil(_day("enrollment_date"), pid, 41, "soon").alias("enrollment_date"),
             _spoil(F.col("limit"), pid, 43, "none").alias("limit")),
         "transactions": st.transactions(spark, sf).select(
-            F.lit(1).alias("product_id"), cid, _spoil(F.col("transaction_amount"), tid, 89, "free").alias("transaction_amount"),
+            F.lit(1).alias("product_id"), cid,
+            _spoil(F.col("transaction_amount"), tid, 89, "free").alias("transaction_amount"),
             "closing_balance",
             _spoil(F.date_format("transaction_date", "yyyy-MM-dd HH:mm:ss"), tid, 97, "n/a").alias("transaction_date"),
             tid),

@@ -5,7 +5,6 @@ from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from pitf.catalog.common import MONEY, as_bigint, as_text, feature_ctes, label_ctes, mean_sql, rounded, with_ctes
 from pitf.catalog.feature_queries import FEATURE_LIST

@@ -17,15 +17,16 @@ MODERATE = 0.10
 
 
 def bin_edges(baseline: DataFrame, value: str, bins: int = BINS, groups: Sequence[str] = ()) -> DataFrame:
-    """(groups, edges): distinct interpolated quantiles of the baseline, ascending."""
+    """(groups, edges, inner): distinct interpolated quantiles of the baseline,
+    ascending, and the same without the outermost two."""
     probs = [i / bins for i in range(bins + 1)]
     quantiles = exact_quantiles(baseline, value, probs, groups)
-    return quantiles.groupBy(*groups).agg(F.sort_array(F.collect_set("quantile")).alias("edges"))
+    edges = quantiles.groupBy(*groups).agg(F.sort_array(F.collect_set("quantile")).alias("edges"))
+    return edges.withColumn("inner", F.slice("edges", 2, F.greatest(F.size("edges") - 2, F.lit(0))))
 
 
-def bin_index(value: Column, edges: Column, bins: int = BINS) -> Column:
+def bin_index(value: Column, inner: Column, bins: int = BINS) -> Column:
     """Number of inner edges at or below the value; the outer bins are open-ended."""
-    inner = F.slice(edges, 2, F.greatest(F.size(edges) - 2, F.lit(0)))
     return reduce(lambda a, b: a + b, [
         F.coalesce((value >= F.get(inner, i)).cast("int"), F.lit(0)) for i in range(bins - 1)
     ])
@@ -35,7 +36,7 @@ def histogram(df: DataFrame, value: str, edges: DataFrame, bins: int = BINS,
               groups: Sequence[str] = ()) -> DataFrame:
     """(groups, bin, rows) of the non-NULL values."""
     rows = _with_edges(df.where(F.col(value).isNotNull()), edges, groups)
-    return rows.groupBy(*groups, bin_index(F.col(value), F.col("edges"), bins).alias("bin")).agg(
+    return rows.groupBy(*groups, bin_index(F.col(value), F.col("inner"), bins).alias("bin")).agg(
         F.count(F.lit(1)).alias("rows"))
 
 
@@ -43,7 +44,7 @@ def _with_edges(df: DataFrame, edges: DataFrame, groups: Sequence[str]) -> DataF
     """Attach the edges: a scalar subquery for one distribution, else a join on the group."""
     if groups:
         return df.join(edges, list(groups))
-    return df.withColumn("edges", edges.select("edges").scalar())
+    return df.withColumn("_e", edges.select(F.struct("edges", "inner")).scalar()).select("*", "_e.*").drop("_e")
 
 
 def psi(baseline: DataFrame, current: DataFrame, value: str, bins: int = BINS,
@@ -57,7 +58,7 @@ def _psi(baseline: DataFrame, current: DataFrame, value: str, edges: DataFrame,
     sides = [df.select(*groups, F.col(value).cast("double").alias("value"), F.lit(side).alias("is_current"))
              for side, df in ((False, baseline), (True, current))]
     both = _with_edges(reduce(DataFrame.unionByName, sides).where("value IS NOT NULL"), edges, groups)
-    counted = both.groupBy(*groups, bin_index(F.col("value"), F.col("edges"), bins).alias("bin")).agg(
+    counted = both.groupBy(*groups, bin_index(F.col("value"), F.col("inner"), bins).alias("bin")).agg(
         F.count_if(~F.col("is_current")).alias("expected"), F.count_if("is_current").alias("actual"),
         F.max(F.size("edges")).alias("edge_count"))
     # At most `bins` rows per group from here on.

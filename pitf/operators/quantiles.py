@@ -49,11 +49,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
     below = [F.lit(float("-inf")), F.lit(float("-inf"))] + [F.when(hi < v, hi) for hi in high]
     counts = bracketed.select(
         *groups, F.when(inside, v).otherwise(F.greatest(*below)).alias("_at"), (~inside).alias("_gap"),
-    ).groupBy(*groups, "_at", "_gap").agg(F.count(F.lit(1)).alias("rows"))
-    ranked = running_totals(counts, [("_at", True), ("_gap", True)], {"n": F.col("rows")}, groups)
+    ).groupBy(*groups, "_at", "_gap").agg(F.count(F.lit(1)).alias("_rows"))
+    ranked = running_totals(counts, [("_at", True), ("_gap", True)], {"_n": F.col("_rows")}, groups)
 
-    first, last = F.col("n_cum") - F.col("n"), F.col("n_cum") - 1
-    position = [(F.col("n_total") - 1) * F.lit(p) for p in probs]
+    first, last = F.col("_n_cum") - F.col("_n"), F.col("_n_cum") - 1
+    position = [(F.col("_n_total") - 1) * F.lit(p) for p in probs]
     hits = F.filter(
         F.array(*[
             F.struct(

@@ -37,12 +37,12 @@ def monthly_activity_profile(transactions: DataFrame) -> DataFrame:
         F.avg("transaction_amount").alias("avg_amount"),
         F.avg("closing_balance").alias("avg_closing_balance"),
     )
-    values = tx.select("month", F.explode(F.create_map(
-        F.lit("median_amount"), F.col("transaction_amount"),
-        F.lit("median_closing_balance"), F.col("closing_balance"))).alias("measure", "amount"))
-    medians = (exact_quantiles(values, "amount", [0.5], ["month", "measure"])
-               .groupBy("month").pivot("measure", ["median_amount", "median_closing_balance"])
-               .agg(F.first("quantile")))
+    named = tx.select("month", F.col("transaction_amount").alias("median_amount"),
+                      F.col("closing_balance").alias("median_closing_balance"))
+    measures = ["median_amount", "median_closing_balance"]
+    medians = (exact_quantiles(named.unpivot("month", measures, "measure", "amount"), "amount", [0.5],
+                               ["month", "measure"])
+               .groupBy("month").pivot("measure", measures).agg(F.first("quantile")))
     by_month = Window.orderBy("month")
     return totals.join(medians, "month", "left").select(
         "*",
