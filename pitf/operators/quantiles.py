@@ -36,13 +36,29 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
     one task. Here a first pass brackets each quantile between two approximate
     ones; a second pass counts the rows between brackets and keeps values only
     inside them, a fraction of about ``8 / ACCURACY`` per quantile. Running
-    totals over what is left give exact ranks. ``df`` is read twice, so a costly
-    one should be a stored table.
+    totals over what is left give exact ranks. Should a rank fall outside its
+    bracket, the brackets are widened until none does. ``df`` is read twice, so a
+    costly one should be a stored table.
     """
     groups, probs = list(groups), [float(p) for p in probs]
     rows = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
-    bracketed, low, high = _with_brackets(rows, probs, groups)
+    slack = 4.0 / ACCURACY
+    hits = _ranked_hits(rows, probs, groups, slack)
+    while slack < 1.0 and not hits.where("_gap").isEmpty():
+        slack *= 16
+        hits = _ranked_hits(rows, probs, groups, slack)
+
+    ends = hits.groupBy(*groups, F.col("h.prob").alias("prob")).agg(
+        F.max(F.when(F.col("h.is_low"), F.col("_at"))).alias("low"),
+        F.max(F.when(F.col("h.is_high"), F.col("_at"))).alias("high"),
+        F.max("h.weight").alias("weight"))
+    return ends.select(
+        *groups, "prob", (F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")).alias("quantile"))
+
 
+def _ranked_hits(rows: DataFrame, probs: list[float], groups: list[str], slack: float) -> DataFrame:
+    """(groups, _at, _gap, h): the values, or gaps, that hold the ranks asked for."""
+    bracketed, low, high = _with_brackets(rows, probs, groups, slack)
     v = F.col("_v")
     inside = reduce(Column.__or__, [(v >= lo) & (v <= hi) for lo, hi in zip(low, high)])
     # A row between brackets is counted right after the highest bracket below it.
@@ -66,27 +82,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
         ]),
         lambda h: h["is_low"] | h["is_high"],
     )
-    found = F.when(F.col("_gap"), F.raise_error(F.lit("quantile outside its bracket")).cast("double")).otherwise(
-        F.col("_at"))
-    hit_rows = ranked.select(*groups, "_at", "_gap", F.explode(hits).alias("h"))
-    ends = (hit_rows.select(*groups, "h", found.alias("_v"))
-            .groupBy(*groups, F.col("h.prob").alias("prob"))
-            .agg(F.max(F.when(F.col("h.is_low"), F.col("_v"))).alias("low"),
-                 F.max(F.when(F.col("h.is_high"), F.col("_v"))).alias("high"),
-                 F.max("h.weight").alias("weight")))
-    return ends.select(
-        *groups, "prob", (F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")).alias("quantile"))
+    return ranked.select(*groups, "_at", "_gap", F.explode(hits).alias("h"))
 
 
-def _with_brackets(rows: DataFrame, probs: list[float], groups: list[str]) -> tuple[DataFrame, list[Column], list[Column]]:
-    """Rows with a lower and an upper bound column per quantile.
+def _with_brackets(rows: DataFrame, probs: list[float], groups: list[str],
+                   slack: float) -> tuple[DataFrame, list[Column], list[Column]]:
+    """Rows with a lower and an upper bound column per quantile, ``slack`` of all ranks apart from it.
 
-    The approximate ranks are off by at most ``1 / ACCURACY`` of the rows; four
-    times that is kept on either side, at least three rows more than needed. Groups
-    too small for that are kept whole. The bounds are written first: one short row
-    per group, whose known size lets Spark broadcast it when it is small.
+    The approximate ranks are off by about ``1 / ACCURACY`` of the rows; the first
+    slack of four times that keeps at least three rows more than needed. Groups too
+    small for that are kept whole. The bounds are written first: one short row per
+    group, whose known size lets Spark broadcast it when it is small.
     """
-    slack = 4.0 / ACCURACY
     asked = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
     cuts = materialise(
         rows.groupBy(*groups).agg(
