@@ -68,9 +68,11 @@ def read_raw_table(spark: SparkSession, raw_dir: str, key: str) -> DataFrame:
 
 def read_raw(spark: SparkSession, raw_dir: str, keys: Iterable[str] = RAW_FILES) -> dict[str, DataFrame]:
     """The raw tables; transactions and interactions without a usable time are dropped."""
-    raw = {key: read_raw_table(spark, raw_dir, key) for key in keys}
-    return {key: df.where(F.col(EVENT_TIME[key]).isNotNull()) if key in EVENT_TIME else df
-            for key, df in raw.items()}
+    return {key: _timed(read_raw_table(spark, raw_dir, key), key) for key in keys}
+
+
+def _timed(df: DataFrame, key: str) -> DataFrame:
+    return df.where(F.col(EVENT_TIME[key]).isNotNull()) if key in EVENT_TIME else df
 
 
 def typed_projection(df: DataFrame, key: str) -> DataFrame:
@@ -90,6 +92,17 @@ def promote(spark: SparkSession, raw_dir: str, target_dir: str, keys: Iterable[s
     return paths
 
 
+def read_promoted(spark: SparkSession, target_dir: str, keys: Iterable[str] = RAW_FILES) -> dict[str, DataFrame]:
+    """Promoted tables in the form ``read_raw`` gives: dates as timestamps, unusable events dropped."""
+    tables = {}
+    for key in keys:
+        schema = table_schema(key)
+        df = spark.read.schema(schema).parquet(f"{target_dir.rstrip('/')}/{key}")
+        tables[key] = _timed(df.withColumns({
+            f.name: F.col(f.name).cast("timestamp") for f in schema if _is_time(f)}), key)
+    return tables
+
+
 def shape_report(tables: dict[str, DataFrame]) -> DataFrame:
     """(table, row_count, column_count) of every table in one job."""
     shapes = [

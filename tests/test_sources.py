@@ -6,6 +6,7 @@ import pytest
 from conftest import tx_frame
 from pyspark.sql import functions as F
 
+from pitf.operators.features import feature_snapshot
 from pitf.operators.scoring import latest_predictions, prediction_for
 from pitf.session import materialise, scratch_path, shared_root
 from pitf.sources import raw, tables
@@ -52,6 +53,20 @@ def test_promotion_types_every_column(spark, raw_dir, tmp_path):
     assert {r["table"]: r["column_count"] for r in raw.shape_report(typed).collect()}["crm"] == 4
 
 
+def test_promoted_tables_give_the_same_features(spark, tmp_path):
+    unreadable = ("x|", "11|", "1|1|5|", "1|1|abc", "2|1|Email", "3|1|Call")
+    for key, lines in FILES.items():
+        good = [line for line in lines if not line.startswith(unreadable)]
+        (tmp_path / raw.RAW_FILES[key]).write_text("\n".join(good) + "\n")
+    raw.promote(spark, str(tmp_path), str(tmp_path / "typed"))
+    typed, text = raw.read_promoted(spark, str(tmp_path / "typed")), raw.read_raw(spark, str(tmp_path))
+    rows = [feature_snapshot(*[t[n] for n in ("customers", "enrollments", "transactions", "crm")], "2025-03-01")
+            .orderBy("customer_id").collect() for t in (typed, text)]
+    assert rows[0] == rows[1] and [r["crm_count"] for r in rows[0]] == [1, 0]
+    early = typed["enrollments"].where(F.col("enrollment_date") < F.lit("2025-03-01").cast("timestamp"))
+    assert "LessThan(enrollment_date" in early._jdf.queryExecution().executedPlan().toString()
+
+
 def test_mixed_dates(spark):
     texts = ["2025-01-02", "2025-01-02 03:04:05", "2025-01-02T03:04:05", "2025/01/02", "02.01.2025", "soon", None]
     parsed = raw.parse_mixed_dates(spark.createDataFrame([(t,) for t in texts], "d STRING"), "d").collect()
