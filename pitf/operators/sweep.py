@@ -71,15 +71,18 @@ def _next_cutoff(ts: Column, named: Sequence[date]) -> Column:
     return F.least(month, *[F.when(ts < F.lit(d), F.lit(d)) for d in named]) if named else month
 
 
-def customer_steps(transactions: DataFrame, named: Sequence[date] = ()) -> DataFrame:
+def customer_steps(transactions: DataFrame, grid: DataFrame, named: Sequence[date] = ()) -> DataFrame:
     """One row per customer and grid step with activity: events in the step, first
     event, events before it, and the previous active step.
 
-    The aggregation by (customer, step) comes first, so the window that follows
-    sees at most one row per calendar month of a customer, however busy.
+    Everything before the first cutoff of the grid is one step. The aggregation by
+    (customer, step) comes first, so the window that follows sees at most one row
+    per calendar month of a customer, however busy.
     """
+    first = grid.agg(F.min("cutoff").alias("first")).scalar()
+    step = F.greatest(_step_start(F.col("transaction_date"), named), month_start(F.date_sub(first, 1)))
     steps = (transactions.where("transaction_date IS NOT NULL")
-             .groupBy("customer_id", _step_start(F.col("transaction_date"), named).alias("step"))
+             .groupBy("customer_id", step.alias("step"))
              .agg(F.count(F.lit(1)).alias("events"), F.min("transaction_date").alias("first_event")))
     history = Window.partitionBy("customer_id").orderBy("step")
     seen = F.sum("events").over(history.rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -137,8 +140,13 @@ def population_changes(steps: DataFrame, windows: Sequence[int], min_prior_txns:
 
 def population_at_cutoffs(transactions: DataFrame, grid: DataFrame, windows: Sequence[int] = WINDOWS,
                           min_prior_txns: int = 1, named: Sequence[date] = ()) -> DataFrame:
-    """(cutoff, eligible, prior_rows, active_W.., retained_W..) for every cutoff of the grid."""
-    changes = population_changes(customer_steps(transactions, named), windows, min_prior_txns, named)
+    """(cutoff, eligible, prior_rows, active_W.., retained_W..) for every cutoff of the grid.
+
+    Events after the last window are not read further.
+    """
+    last = grid.agg(F.max("cutoff").alias("last")).scalar()
+    seen = transactions.where(F.col("transaction_date") < F.date_add(last, max(windows)).cast("timestamp"))
+    changes = population_changes(customer_steps(seen, grid, named), windows, min_prior_txns, named)
     return _accumulate(changes, grid)
 
 
@@ -157,7 +165,7 @@ def median_prior_events(transactions: DataFrame, grid: DataFrame) -> DataFrame:
     Keeps, per cutoff, how many customers have each event count. N events allow
     fewer than sqrt(2N) distinct counts, which bounds what one median holds.
     """
-    steps = customer_steps(transactions)
+    steps = customer_steps(transactions, grid)
     here = _next_cutoff(F.col("step"), ())
     moves = steps.select(F.explode(F.array(
         F.struct(here.alias("since"), (F.col("seen_before") + F.col("events")).alias("seen"), F.lit(1).alias("moved")),

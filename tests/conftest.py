@@ -35,7 +35,7 @@ def tx_frame(spark, rows):
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[4]").appName("tests")
-               .config("spark.sql.shuffle.partitions", "4")
+               .config("spark.sql.shuffle.partitions", "3")
                .config("spark.ui.enabled", "false")
                .config("spark.driver.memory", "4g")
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))

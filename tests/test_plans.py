@@ -53,6 +53,7 @@ def test_top_row_per_key_is_cut_before_the_shuffle(spark):
 
 
 def test_sweep_orders_steps_not_events(spark):
-    text = plan(sw.customer_steps(st.transactions(spark, SF)))
+    tx = st.transactions(spark, SF)
+    text = plan(sw.customer_steps(tx, sw.candidate_cutoffs(tx)))
     window = text.index("Window [")
     assert "HashAggregate" in text[window:] and "partial_count" in text[window:]
