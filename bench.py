@@ -21,6 +21,7 @@ HEADLINE = (
     "monthly_activity_profile", "cutoff_feasibility", "label_sweep", "chosen_cutoff", "adaptive_cutoff",
     "amount_quantiles", "ranking_metrics", "candidate_metrics", "gate_decisions", "registry_promoted",
     "score_drift", "feature_drift", "latest_predictions", "raw_transactions",
+    "trained_candidate_metrics",
 )
 
 

@@ -129,15 +129,17 @@ def feature_drift(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(dr.feature_psi(before, after, FEATURE_COLUMNS))
 
 
-def psi_ctes(baseline: str, current: str, group: str = "'all'") -> dict[str, str]:
+def psi_ctes(baseline: str, current: str) -> dict[str, str]:
     """PSI by interpolated quantiles and a bin lookup per value; both inputs give (g, v)."""
+    binned = """SELECT g, len([x for x in inside if x <= v]) AS bin, count(*) AS n
+        FROM {} JOIN inner_edges USING (g) GROUP BY 1, 2"""
     return {
         "b": baseline, "c": current,
         "edges": """SELECT g, list_sort(list_distinct(quantile_cont(v, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1])))
             AS e FROM b GROUP BY g""",
         "inner_edges": "SELECT g, e, e[2:len(e) - 1] AS inside FROM edges",
-        "eh": "SELECT g, len([x for x in inside if x <= v]) AS bin, count(*) AS n FROM b JOIN inner_edges USING (g) GROUP BY 1, 2",
-        "ah": "SELECT g, len([x for x in inside if x <= v]) AS bin, count(*) AS n FROM c JOIN inner_edges USING (g) GROUP BY 1, 2",
+        "eh": binned.format("b"),
+        "ah": binned.format("c"),
         "cells": """SELECT g, bin,
             greatest(coalesce(eh.n, 0) / CAST((SELECT count(*) FROM b WHERE b.g = k.g) AS DOUBLE), 1e-6) AS ep,
             greatest(coalesce(ah.n, 0) / CAST((SELECT count(*) FROM c WHERE c.g = k.g) AS DOUBLE), 1e-6) AS ap
@@ -164,6 +166,7 @@ def _prediction_sql(i: int, version: str = VERSION) -> str:
         '{d}T00:00:00+00:00' AS scored_at, '{d}' AS scored_date FROM features_{i}"""
 
 
+LONG_FEATURES = "SELECT name AS g, value AS v FROM {} UNPIVOT (value FOR name IN (" + ", ".join(FEATURE_COLUMNS) + "))"
 REWRITTEN = " UNION ALL ".join([_prediction_sql(0), _prediction_sql(1, "recency v2"), _prediction_sql(2)])
 ORDER_DAYS = """SELECT customer_id, max(transaction_amount) / (max(transaction_amount) + 100000.0::DOUBLE) AS churn_score,
     'spend v1' AS model_version, strftime(transaction_date, '%Y-%m-%d') AS scored_date
@@ -199,6 +202,5 @@ QUERIES = {
             WHERE transaction_date >= {ts_literal(CUTOFF)}"""))),
     "feature_drift": (feature_drift, with_ctes(
         f"SELECT g AS feature, round(psi, 6) AS psi, {SEVERITY} FROM psi", **NOW, **LATER, **psi_ctes(
-            f"SELECT name AS g, value AS v FROM features_now UNPIVOT (value FOR name IN ({', '.join(FEATURE_COLUMNS)}))",
-            f"SELECT name AS g, value AS v FROM features_later UNPIVOT (value FOR name IN ({', '.join(FEATURE_COLUMNS)}))"))),
+            LONG_FEATURES.format("features_now"), LONG_FEATURES.format("features_later")))),
 }

@@ -99,7 +99,8 @@ CTES = {
     "numbered": """SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY month) AS version,
         count(*) OVER (PARTITION BY l_suppkey) AS n FROM monthly""",
     "registry": """SELECT 'supplier-' || l_suppkey AS model_name, l_suppkey, version,
-        CASE WHEN version % 11 <> 0 THEN auc END AS roc_auc, CASE WHEN version % 11 <> 0 THEN lift END AS ap_lift_over_base,
+        CASE WHEN version % 11 <> 0 THEN auc END AS roc_auc,
+        CASE WHEN version % 11 <> 0 THEN lift END AS ap_lift_over_base,
         CASE WHEN l_suppkey % 5 <> 0 AND version = l_suppkey % n + 1 THEN 'champion' END AS alias,
         md5(l_suppkey || '|' || quarter(month) || '|' || year(month)) AS input_hash FROM numbered""",
     "newest": """SELECT * FROM registry r WHERE version = (SELECT max(version) FROM registry x

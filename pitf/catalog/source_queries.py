@@ -123,7 +123,8 @@ def column_added(spark: SparkSession, sf: str) -> DataFrame:
     later = rows.where("year >= '1998'").withColumn("is_large", F.col("transaction_amount") > 100000)
     tables.write_table(later, path, partition_by="year")
     merged = tables.read_table(spark, path, merge_schema=True)
-    return rounded(merged.withColumn("year", F.col("year").cast("bigint")), 2)
+    shown = {"year": F.col("year").cast("bigint"), "is_large": F.col("is_large").cast("string")}
+    return rounded(merged.withColumns(shown), 2)
 
 
 def table_replaced(spark: SparkSession, sf: str) -> DataFrame:
@@ -172,7 +173,7 @@ QUERIES = {
            FROM transactions""")),
     "column_added": (column_added, with_ctes(
         """SELECT transaction_id, round(transaction_amount, 2) AS transaction_amount, year(transaction_date) AS year,
-           CASE WHEN year(transaction_date) >= 1998 THEN transaction_amount > 100000 END AS is_large
+           CAST(CASE WHEN year(transaction_date) >= 1998 THEN transaction_amount > 100000 END AS VARCHAR) AS is_large
            FROM transactions""")),
     "table_replaced": (table_replaced, with_ctes(
         """SELECT transaction_id, round(closing_balance, 2) AS closing_balance, round(closing_balance, 0) AS rounded

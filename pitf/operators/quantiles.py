@@ -57,7 +57,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
 
 
 def _ranked_hits(rows: DataFrame, probs: list[float], groups: list[str], slack: float) -> DataFrame:
-    """(groups, _at, _gap, h): the values, or gaps, that hold the ranks asked for."""
+    """(groups, _at, _gap, h): the values, or gaps, that hold the ranks asked for.
+
+    A few rows per group and quantile, written so that checking them costs nothing.
+    """
     bracketed, low, high = _with_brackets(rows, probs, groups, slack)
     v = F.col("_v")
     inside = reduce(Column.__or__, [(v >= lo) & (v <= hi) for lo, hi in zip(low, high)])
@@ -82,7 +85,7 @@ def _ranked_hits(rows: DataFrame, probs: list[float], groups: list[str], slack:
         ]),
         lambda h: h["is_low"] | h["is_high"],
     )
-    return ranked.select(*groups, "_at", "_gap", F.explode(hits).alias("h"))
+    return materialise(ranked.select(*groups, "_at", "_gap", F.explode(hits).alias("h")), "hits")
 
 
 def _with_brackets(rows: DataFrame, probs: list[float], groups: list[str],

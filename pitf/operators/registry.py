@@ -148,7 +148,7 @@ class RegistryStore:
 
     def write(self, registry: DataFrame) -> None:
         state = self._state()
-        registry.coalesce(1).write.parquet(f"{self.path}/state={(state or 0) + 1}")
+        registry.write.parquet(f"{self.path}/state={(state or 0) + 1}")
 
     def _state(self) -> int | None:
         if not table_exists(self.spark, self.path):
