@@ -16,6 +16,8 @@ def split_hash(customer_id: Column, seed: int) -> Column:
 def is_test(customer_id: Column, test_size: float = 0.2, seed: int = 42) -> Column:
     """Deterministic hold-out by hash: no shuffle, independent of row order, and
     stable for a customer when others come and go."""
+    if not 0.0 < test_size < 1.0:
+        raise ValueError(f"test_size must lie between 0 and 1, got {test_size}")
     bound = f"{int(test_size * 0x10000):04x}"
     return F.substring(split_hash(customer_id, seed), 1, 4) < F.lit(bound)
 
