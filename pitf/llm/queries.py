@@ -6,19 +6,47 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitf.llm import ngram_join
+from pitf.llm import fingerprint, mixing, ngram_join, packing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """Vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.copies(_table(spark, sf_dir, "documents"))
+    # Rows of one id, source and size are alike: the first of them take the copies above the common number.
+    each = plan.withColumn("nth", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
+    own = F.floor(F.col("taken") / F.col("rows")) + (F.col("nth") <= F.col("taken") % F.col("rows")).cast("long")
+    return each.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
+                       (own * F.col("size")).cast("long").alias("taken"), "source")
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return pieces.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.link_components(_table(spark, sf_dir, "documents"), width=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.compare_neighbours(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
+                        "edited_fingerprint", "near_edited", "near_next")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_ngram_join,)
+    f.__name__: f for f in (op1_mixing, op2_packing, op5_ngram_join, op7_fingerprints)
 }
 SQL: dict[str, str] = {}
