@@ -161,18 +161,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", siz
     """The documents of the mix with all their columns, a document taken twice as two rows. See ``copies``.
 
     Of repeated rows (same id, source and size) the first in text order get the copies above the common number.
+    Names that begin with ``__pitf`` are reserved.
     """
     names = docs.columns
     size = word_count(F.col("text")) if size is None else size
     plan = materialise(copies(docs, id_col, source_col, size, weights, share, most, seed)
-                       .select(F.col("id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"),
-                               F.col("rows").alias("_rows"), F.col("taken").alias("_taken")), "plan")
-    sized = docs.withColumn("_words", size)
-    joined = sized.join(plan, sized[id_col].eqNullSafe(plan["_id"]) & sized[source_col].eqNullSafe(plan["_source"])
-                        & (sized["_words"] == plan["_size"]))
-    single = joined.where("_rows = 1").withColumn("_copies", F.col("_taken"))
-    order = Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64(*[docs[c] for c in names]))
-    several = joined.where("_rows > 1").withColumn("_nth", F.row_number().over(order)).withColumn(
-        "_copies", F.floor(F.col("_taken") / F.col("_rows")) + (F.col("_nth") <= F.col("_taken") % F.col("_rows")).cast("long"))
-    both = single.select(*names, "_copies").unionByName(several.select(*names, "_copies")).where("_copies > 0")
-    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*names)
+                       .select(F.col("id").alias("__pitf_id"), F.col("source").alias("__pitf_source"), F.col("size").alias("__pitf_size"),
+                               F.col("rows").alias("__pitf_rows"), F.col("taken").alias("__pitf_taken")), "plan")
+    sized = docs.withColumn("__pitf_words", size)
+    joined = sized.join(plan, sized[id_col].eqNullSafe(plan["__pitf_id"]) & sized[source_col].eqNullSafe(plan["__pitf_source"])
+                        & (sized["__pitf_words"] == plan["__pitf_size"]))
+    single = joined.where("__pitf_rows = 1").withColumn("__pitf_copies", F.col("__pitf_taken"))
+    order = Window.partitionBy("__pitf_id", "__pitf_source", "__pitf_size").orderBy(F.xxhash64(*[docs[c] for c in names]))
+    several = joined.where("__pitf_rows > 1").withColumn("__pitf_nth", F.row_number().over(order)).withColumn(
+        "__pitf_copies", F.floor(F.col("__pitf_taken") / F.col("__pitf_rows")) + (F.col("__pitf_nth") <= F.col("__pitf_taken") % F.col("__pitf_rows")).cast("long"))
+    both = single.select(*names, "__pitf_copies").unionByName(several.select(*names, "__pitf_copies")).where("__pitf_copies > 0")
+    return both.withColumn("__pitf_copy", F.explode(F.sequence(F.lit(1), F.col("__pitf_copies").cast("int")))).select(*names)

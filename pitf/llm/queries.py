@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitf.llm import fingerprint, mixing, ngram_join, packing
+from pitf.llm import fingerprint, html_extract, langid, mixing, ngram_join, packing, quality, topk, toxicity
+from pitf.llm.labelled import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +36,15 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_extract.extract(_table(spark, sf_dir, "pages"), keep=("page_id", "url"))
+    return found.select("page_id", "url", F.col("_text").alias("text"), F.col("_chars").alias("n_chars"))
+
+
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ngram_join.link_components(_table(spark, sf_dir, "documents"), width=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id")
@@ -46,7 +56,54 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "edited_fingerprint", "near_edited", "near_next")
 
 
+def _judged(scored: DataFrame, held_out) -> DataFrame:
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("_score").alias("score"),
+                         (F.col("_score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    return _judged(quality.score(docs, model, keep=("doc_id",)), fold("doc_id", 3) == 1)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return _judged(toxicity.score(docs, model, keep=("doc_id",)), fold("doc_id", 5) == 0)
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents; their source is the host, a ``lang`` attribute in the text the declared language."""
+    docs = _table(spark, sf_dir, "documents")
+    found = langid.identify(docs.select("doc_id", "source", "text"), langid.fit(docs), F.col("text"),
+                            langid.markup_language(F.col("text")), langid.address_suffix(F.col("source")), F.col("source"))
+    return found.select("doc_id", F.col("_language").alias("language"), F.col("_probability").alias("probability"),
+                        F.col("_accepted").alias("accepted"))
+
+
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages: main text, ``lang`` attribute, host and its suffix."""
+    pages = html_extract.extract(_table(spark, sf_dir, "pages"))
+    host = langid.address_host(F.col("url"))
+    found = langid.identify(pages, langid.fit(_table(spark, sf_dir, "documents")), F.col("_text"),
+                            langid.markup_language(F.col("html")), langid.address_suffix(host), host)
+    return found.select("page_id", F.col("_language").alias("language"), F.col("_probability").alias("probability"),
+                        F.col("_accepted").alias("accepted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_packing, op5_ngram_join, op7_fingerprints)
+    f.__name__: f for f in (op1_mixing, op2_packing, op3_html_extraction, op4_top_k, op5_ngram_join, op6_quality, op7_fingerprints, op8_toxicity, op10_language_id,
+                            language_id_pages)
 }
 SQL: dict[str, str] = {}
+
+SQL["op4_top_k"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+           FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+     r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
