@@ -6,12 +6,13 @@ are merged, the other L = T - 1 ("long") are only probed. Every partner occurs i
 T - L = 1 of the merged lists, whatever order decides which shingles count as rare, as long as
 all documents use the same one. Here rare means: not among the frequent shingles, then by hash.
 
-The lists are built by a shuffle on the shingle and never expanded into pairs: what is asked for are the
-groups of linked documents. Every list is first compared with one central document (the hub) and
-linked documents are contracted into components. Lists that still hold several components form
-pools; there each document outside the main component searches blocks of the pool: its short lists
-are merged, documents with T - L occurrences binary-probed in the long ones, and those that reach the
-overlap are linked. A document is in few pools, and a group of copies is never paired with itself.
+The lists are built by a shuffle on the shingle and never expanded into pairs. All lists with the same
+most central document (hub) form a pool, dealt out in blocks. A first search merges short lists only and keeps
+the documents for which they leave a partner possible; for those alone whole sets are formed. They
+are compared with their hub and contracted into components; then each document outside its pool's main component
+searches the pool by DivideSkip: short lists merged, documents with T - L occurrences binary-probed in
+the long ones, those that reach the overlap linked. A group of copies is thus never paired with itself, and what is returned is
+the links' components, which is what the groups are.
 """
 from __future__ import annotations
 
@@ -33,8 +34,8 @@ FREQUENT = 100_000
 FREQUENT_FROM = 8
 #: Documents in one block of a pool, the unit of the search in memory.
 POOL_BLOCK = 1024
-#: Cost of merging an entry against probing one, from the DivideSkip choice of the number of long lists.
-MERGE_WEIGHT = 0.01
+#: Weight in the DivideSkip choice of how many lists are long, T / (weight * log2(longest) + 1): merging is cheap here.
+MERGE_WEIGHT = 1.0
 
 
 def needed(n, percent: int):
@@ -42,8 +43,10 @@ def needed(n, percent: int):
     return -(-percent * n // 100)
 
 
-def _signed(hashes: np.ndarray) -> np.ndarray:
-    return hashes.view(np.int64)
+def _order_keys(hashes: np.ndarray, late: np.ndarray | None = None) -> np.ndarray:
+    """Place of each shingle in the common order as a positive number: 62 bits of its hash, frequent ones behind."""
+    keys = (hashes >> np.uint64(2)).view(np.int64)
+    return keys if late is None else keys | late.astype(np.int64) << 62
 
 
 def _set_id(one: np.ndarray) -> bytes:
@@ -59,7 +62,7 @@ def _summaries(width: int, percent: int):
                 n = len(one)
                 sizes.append(n)
                 ids.append(_set_id(one))
-                prefixes.append(_signed(one[:n - needed(n, percent) + 1]) if n else np.zeros(0, np.int64))
+                prefixes.append(_order_keys(one[:n - needed(n, percent) + 1] if n else one))
             ends = np.cumsum([0, *map(len, prefixes)])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
@@ -68,6 +71,11 @@ def _summaries(width: int, percent: int):
     return run
 
 
+def _among(some: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which keys are in a sorted array."""
+    return some[np.minimum(np.searchsorted(some, keys), len(some) - 1)] == keys
+
+
 def _short_lists(width: int, percent: int, frequent):
     """New short lists of the sets that have frequent shingles among their first ones."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,10 +84,11 @@ def _short_lists(width: int, percent: int, frequent):
             ids, lists = [], []
             for one in shingle_sets(*text_bytes(batch.column(1)), width):
                 size = len(one) - needed(len(one), percent) + 1
-                late = np.isin(one, last, assume_unique=True)
-                if len(one) and late[:size].any():
+                keys = _order_keys(one)
+                if len(one) and _among(last, keys[:size]).any():
+                    late = _among(last, keys)
                     ids.append(_set_id(one))
-                    lists.append(_signed(np.concatenate((one[~late], one[late]))[:size]).tolist())
+                    lists.append(np.sort(_order_keys(one, late))[:size].tolist())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], ["set_id", "short"])
     return run
@@ -100,52 +109,88 @@ def _whole_sets(width: int):
 def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Overlap of two sorted sets: binary search of the smaller set's shingles in the larger."""
     for batch in batches:
-        shared = []
+        shared, total = [], []
         for a, b in zip(batch.column(2), batch.column(3), strict=True):
             x, y = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
             if len(x) > len(y):
                 x, y = y, x
             at = np.searchsorted(y, x)
             shared.append(int((y[np.minimum(at, len(y) - 1)] == x).sum()))
+            total.append(len(x) + len(y))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(shared, pa.int64())], ["a", "b", "shared"])
+            [batch.column(0), batch.column(1), pa.array(shared, pa.int64()), pa.array(total, pa.int64())],
+            ["a", "b", "shared", "total"])
 
 
-def _overlaps(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, written once."""
+def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, written once. A set missing in ``sets`` has no partner."""
     with_a = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("shingles").alias("sa")), "a")
     both = with_a.join(sets.select(F.col("set_id").alias("b"), F.col("shingles").alias("sb")), "b")
-    shared = both.select("a", "b", "sa", "sb").mapInArrow(_probe, "a binary, b binary, shared long")
-    for side in "ab":
-        shared = shared.join(sizes.select(F.col("set_id").alias(side), F.col("n_shingles").alias(f"n{side}")), side)
-    union = F.col("na") + F.col("nb") - F.col("shared")
-    return materialise(shared.where(100 * F.col("shared") >= percent * union).select("a", "b"), "links")
-
-
-def _near_sizes(x: str, y: str, percent: int):
-    return 100 * F.least(x, y) >= percent * F.greatest(x, y)
-
-
-def _hubs(at: DataFrame) -> DataFrame:
-    """The most central document of each list: the one whose merged lists are longest for its size. A text that
-    others were copied from shares nearly all of them; a copy has some of its own."""
-    return (at.groupBy("shingle")
-            .agg(F.max(F.struct("weight", "set_id", "n_shingles", "component")).alias("top"))
-            .select("shingle", F.col("top.set_id").alias("hub"), F.col("top.n_shingles").alias("hub_size"),
-                    F.col("top.component").alias("hub_component")))
+    shared = both.select("a", "b", "sa", "sb").mapInArrow(_probe, "a binary, b binary, shared long, total long")
+    return materialise(shared.where(100 * F.col("shared") >= percent * (F.col("total") - F.col("shared"))).select("a", "b"),
+                       "links")
 
 
-def _mixed(at: DataFrame) -> DataFrame:
-    """The lists whose documents are not all in one component."""
-    mixed = at.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return materialise(at.join(mixed.where("lo <> hi").select("shingle"), "shingle"), "mixed")
+def _possible(percent: int):
+    """Members of a block's pool that the merged short lists leave a possible partner.
 
+    Of two sets, all shingles up to the earlier end of their short lists are known: what only one has there is not
+    shared, which bounds the overlap. Rows come ordered by pool and block, the block's members first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, members, index, alive = None, [], None, None
+
+        def search(set_id, n, one, sizes, keys, owners, lasts, ids):
+            shared = np.bincount(np.concatenate([owners[i:j] for i, j in zip(
+                np.searchsorted(keys, one, "left"), np.searchsorted(keys, one, "right"), strict=True)]), minlength=len(sizes))
+            mine = np.searchsorted(one, lasts, "right") - shared
+            theirs = np.bincount(owners[:np.searchsorted(keys, one[-1], "right")], minlength=len(sizes)) - shared
+            most = np.minimum(n - mine, sizes - theirs)
+            return np.flatnonzero((shared > 0) & (most * (100 + percent) >= percent * (n + sizes)) & (ids != set_id))
+
+        def built():
+            lists = [x[2] for x in members]
+            keys = np.concatenate(lists)
+            order = np.argsort(keys, kind="stable")
+            owners = np.repeat(np.arange(len(lists)), [len(x) for x in lists])[order]
+            return (np.array([x[1] for x in members]), keys[order], owners, np.array([x[-1] for x in lists]),
+                    np.array([x[0] for x in members], object))
+
+        def finish():
+            """The members search their own block too."""
+            mask = alive if alive is not None else np.zeros(len(members), bool)
+            if len(members) > 1:
+                known = index or built()
+                for i, (set_id, n, one) in enumerate(members):
+                    hit = search(set_id, n, one, *known)
+                    if len(hit):
+                        mask[hit] = mask[i] = True
+            return [(at[0], members[i][0]) for i in np.flatnonzero(mask)]
+
+        def frame(found):
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], ["pool", "set_id"])
 
-def _with_hub(at: DataFrame, percent: int) -> DataFrame:
-    """Each document of a list with the list's hub."""
-    return (at.join(_hubs(at), "shingle").where("component <> hub_component")
-            .where(_near_sizes("n_shingles", "hub_size", percent))
-            .select(F.least("set_id", "hub").alias("a"), F.greatest("set_id", "hub").alias("b")).distinct())
+        for batch in batches:
+            found = []
+            for pool, block, searching, set_id, n, short in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (pool, block) != at:
+                    found += finish() if at else []
+                    at, members, index, alive = (pool, block), [], None, None
+                one = np.array(short, np.int64)
+                if not searching:
+                    members.append((set_id, n, one))
+                    continue
+                if not members:
+                    continue
+                if index is None:
+                    index, alive = built(), np.zeros(len(members), bool)
+                hit = search(set_id, n, one, *index)
+                if len(hit):
+                    alive[hit] = True
+                    found.append((pool, set_id))
+            yield frame(found)
+        if at:
+            yield frame(finish())
+    return run
 
 
 def _occurrence_search(one: np.ndarray, least: int, keys: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
@@ -159,8 +204,8 @@ def _occurrence_search(one: np.ndarray, least: int, keys: np.ndarray, owners: np
     longest = int(hi[-1] - lo[-1])
     n_long = min(least - 1, int(least / (MERGE_WEIGHT * np.log2(longest + 2) + 1)))
     n_short = len(one) - n_long
-    merged = np.sort(np.concatenate([owners[i:j] for i, j in zip(lo[:n_short], hi[:n_short], strict=True)]), kind="stable")
-    counts = np.bincount(merged, minlength=n)
+    merged = np.concatenate([owners[i:j] for i, j in zip(lo[:n_short], hi[:n_short], strict=True)])
+    counts = np.bincount(merged, minlength=n)  # the merge, counting in place of a heap
     found = np.flatnonzero(counts >= least - n_long)
     for k in range(n_short, len(one)):
         if not len(found):
@@ -205,26 +250,18 @@ def _pool_links(percent: int):
     return run
 
 
-def _search_pools(at: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) that join different components of a common list.
-
-    A pool holds the documents of all lists with the same main component (the one with most documents of
-    the list). Two documents of a list in different components are in its pool, and one of them is outside
-    the main component: that one searches the blocks of the pool.
-    """
-    main = (at.groupBy("shingle", "component").agg(F.count("*").alias("n"))
-            .groupBy("shingle").agg(F.max(F.struct("n", "component")).alias("top"))
-            .select("shingle", F.col("top.component").alias("pool")))
-    member = materialise(at.join(main, "shingle").groupBy("pool", "set_id").agg(F.first("component").alias("component")),
-                         "pools")
+def _in_blocks(member: DataFrame, searching) -> DataFrame:
+    """Each member in its block of the pool, and again in blocks that it searches from outside where ``searching``."""
     blocks = member.groupBy("pool").agg(F.ceil(F.count("*") / POOL_BLOCK).cast("int").alias("blocks"))
-    member = member.join(blocks, "pool")
-    own = member.withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    search = member.where("component <> pool").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = (own.withColumn("searching", F.lit(False)).unionByName(search.withColumn("searching", F.lit(True)))
-            .join(sets, "set_id").select("pool", "block", "searching", "set_id", "component", "shingles"))
-    return (rows.repartition("pool", "block").sortWithinPartitions("pool", "block", "searching")
-            .mapInArrow(_pool_links(percent), "a binary, b binary"))
+    member = member.join(blocks, "pool").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    visits = member.where(searching).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return (member.withColumn("block", F.col("own")).withColumn("searching", F.lit(False))
+            .unionByName(visits.withColumn("searching", F.lit(True))))
+
+
+def _dealt(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return (rows.select("pool", "block", "searching", *columns).repartition("pool", "block")
+            .sortWithinPartitions("pool", "block", "searching"))
 
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5,
@@ -255,35 +292,48 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .where(F.col("n") >= FREQUENT_FROM).orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle").collect())]
     short = sets.select("set_id", "n_shingles", "short")
     if frequent:
-        shared = spark.sparkContext.broadcast(np.sort(np.array(frequent, np.int64).view(np.uint64)))
+        shared = spark.sparkContext.broadcast(np.sort(np.array(frequent, np.int64)))
         again = (texts.where("doc_id IS NOT NULL")
                  .mapInArrow(_short_lists(width, percent, shared), "set_id binary, short array<long>")
                  .groupBy("set_id").agg(F.min("short").alias("again")))
         short = (short.join(again, "set_id", "left")
                  .select("set_id", "n_shingles", F.coalesce("again", "short").alias("short")))
 
-    per_list = Window.partitionBy("shingle")
+    # A list's documents by size: whoever has no neighbour of a size that can link has no partner in the list.
+    short = materialise(short, "short")
+    in_list = Window.partitionBy("shingle").orderBy("n_shingles")
+    size, before, after = (F.col("n_shingles"), F.lag("n_shingles").over(in_list), F.lead("n_shingles").over(in_list))
     posted = materialise(
         short.select("set_id", "n_shingles", F.explode("short").alias("shingle"))
-        .withColumn("n_docs", F.count("*").over(per_list)).where("n_docs > 1"), "posted")
-    central = posted.groupBy("set_id").agg(
-        (F.sum("n_docs") / F.max(F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1)).alias("weight"))
-    posted = materialise(posted.join(central, "set_id"), "lists")
-
-    wanted = posted.select("set_id").distinct().join(sets.select("set_id", "doc_id"), "set_id")
-    whole = materialise(
-        texts.join(wanted, "doc_id").select("set_id", "text")
-        .mapInArrow(_whole_sets(width), "set_id binary, shingles binary").dropDuplicates(["set_id"]), "shingles")
+        .withColumn("fits", (100 * before >= percent * size) | (100 * size >= percent * after)).where("fits").drop("fits"),
+        "posted")
+    # The hub of a list, the most central of its documents, names the pool: a text that others were copied from shares
+    # nearly all its short lists; a copy has some of its own.
+    central = posted.groupBy("set_id").agg((F.count("*") / F.max("n_shingles")).alias("weight"))
+    hubs = posted.join(central, "set_id").groupBy("shingle").agg(F.max(F.struct("weight", "set_id")).alias("top"))
+    member = materialise(posted.join(hubs.select("shingle", F.col("top.set_id").alias("pool")), "shingle")
+                         .select("pool", "set_id").distinct(), "pools")
+    listed = _in_blocks(member, F.lit(True)).where("NOT searching OR own <> block").join(short, "set_id")
+    alive = materialise(_dealt(listed, ["set_id", "n_shingles", "short"])
+                        .mapInArrow(_possible(percent), "pool binary, set_id binary").distinct(), "alive")
 
     component = None
-    at = _mixed(posted.withColumn("component", F.col("set_id")))
-    if not at.isEmpty():
-        links = _overlaps(_with_hub(at, percent), sets, whole, percent)
-        component = connected(links)
-        at = _mixed(posted.join(component, "set_id", "left")
-                    .withColumn("component", F.coalesce("component", "set_id")))
-        links = links.unionByName(materialise(_search_pools(at, whole, percent), "links"))
+    if not alive.isEmpty():
+        wanted = alive.select("set_id").distinct().join(sets.select("set_id", "doc_id"), "set_id")
+        whole = materialise(
+            texts.join(wanted, "doc_id").select("set_id", "text")
+            .mapInArrow(_whole_sets(width), "set_id binary, shingles binary").dropDuplicates(["set_id"]), "shingles")
+        to_hub = (alive.where("pool <> set_id")
+                  .select(F.least("pool", "set_id").alias("a"), F.greatest("pool", "set_id").alias("b")).distinct())
+        links = _overlaps(to_hub, whole, percent)
         component = connected(links)
+        at = (alive.join(component, "set_id", "left").withColumn("component", F.coalesce("component", "set_id")))
+        main = (at.groupBy("pool", "component").agg(F.count("*").alias("n")).groupBy("pool")
+                .agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
+                .select("pool", F.col("top.component").alias("main")))
+        blocked = _in_blocks(at.join(main, "pool"), F.col("component") != F.col("main")).join(whole, "set_id")
+        found = _dealt(blocked, ["set_id", "component", "shingles"]).mapInArrow(_pool_links(percent), "a binary, b binary")
+        component = connected(links.unionByName(materialise(found, "links")))
 
     labelled = sets.select("set_id", F.col("doc_id").alias("least")).withColumn("component", F.col("set_id"))
     if component is not None:
