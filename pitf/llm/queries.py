@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitf.llm import fingerprint, html_extract, langid, mixing, ngram_join, packing, quality, topk, toxicity
+from pitf.llm import fingerprint, html_extract, katz, langid, mixing, ngram_join, packing, quality, topk, toxicity
 from pitf.llm.labelled import fold
 
 
@@ -73,6 +73,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(toxicity.score(docs, model, keep=("doc_id",)), fold("doc_id", 5) == 0)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.log_probabilities(_table(spark, sf_dir, "documents"), fold("doc_id", 5) == 1)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents; their source is the host, a ``lang`` attribute in the text the declared language."""
     docs = _table(spark, sf_dir, "documents")
@@ -93,7 +97,7 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_packing, op3_html_extraction, op4_top_k, op5_ngram_join, op6_quality, op7_fingerprints, op8_toxicity, op10_language_id,
+    f.__name__: f for f in (op1_mixing, op2_packing, op3_html_extraction, op4_top_k, op5_ngram_join, op6_quality, op7_fingerprints, op8_toxicity, op9_lm_scoring, op10_language_id,
                             language_id_pages)
 }
 SQL: dict[str, str] = {}
