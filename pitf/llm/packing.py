@@ -10,6 +10,7 @@ is full) and the last rest is cut at powers of two, where a sequence needs no pa
 from __future__ import annotations
 
 import itertools
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,33 +18,69 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words whose ids a task remembers; the memory is emptied beyond that, which changes no result.
-REMEMBERED = 500_000
+from pitf.llm.textcore import slices
+
+#: Words whose ids a Python worker remembers; the memory is emptied beyond that, which changes no result.
+REMEMBERED = 1_000_000
 #: Sequences that one partition may number.
 NUMBERS = 1 << 40
 
 
 class WordTokenizer:
-    """Ids of a text by a tokenizer that never joins what white space separates: each word is looked up once."""
+    """Ids of a text by a tokenizer that never joins what white space separates and ignores the case of A-Z: each word is
+    looked up once, and a new one that is a known word and commas or full stops is put together from both."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.starts = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+
+    def _learn(self, new: list[bytes]) -> None:
+        stems = {w: w.rstrip(b".,") for w in new}
+        joined = {w for w, stem in stems.items() if stem != w and stem[-1:].isalpha()}
+        plain = list(dict.fromkeys(x for w in new for x in ((stems[w], w[len(stems[w]):]) if w in joined else (w,))
+                                   if x not in self.known))
+        codes = self.tokenizer.encode_batch_fast([w.decode() for w in plain], add_special_tokens=False)
+        self._store(plain, [code.ids for code in codes])
+        known, starts, lengths = self.known, self.starts.tolist(), self.lengths.tolist()
+        flat = self.flat.tolist() if joined else []
+        joined = [w for w in joined if w not in known]
+        pieces = []
+        for w in joined:
+            stem, tail = known[stems[w]], known[w[len(stems[w]):]]
+            pieces.append(flat[starts[stem]:starts[stem] + lengths[stem]] + flat[starts[tail]:starts[tail] + lengths[tail]])
+        self._store(joined, pieces)
+
+    def _store(self, names: list[bytes], ids: list[list[int]]) -> None:
+        lengths = np.array([len(x) for x in ids], np.int64)
+        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names)), strict=True))
+        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
+        self.lengths = np.concatenate((self.lengths, lengths))
+        self.flat = np.concatenate((self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum()))))
 
     def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [text.encode().split() for text in texts]  # of bytes: at ASCII white space only
+        # Of bytes: only A-Z changes and only ASCII white space separates.
+        raw = [text.encode() for text in texts]
+        split = [(x if b"<|" in x else x.lower()).split() for x in raw]
         if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list(set(itertools.chain.from_iterable(split)).difference(known))
-        for word, code in zip(new, self.tokenizer.encode_batch_fast(
-                [word.decode() for word in new], add_special_tokens=False), strict=True):
-            known[word] = np.array(code.ids, np.uint32)
-        empty = np.zeros(0, np.uint32)
+            self.forget()
+        new = list(set(itertools.chain.from_iterable(split)).difference(self.known))
+        if new:
+            self._learn(new)
+        place = self.known.__getitem__
         for words in split:
-            yield np.concatenate([known[w] for w in words]) if words else empty
+            at = np.fromiter(map(place, words), np.int64, len(words))
+            length = self.lengths[at]
+            before = np.cumsum(length) - length
+            yield self.flat[np.repeat(self.starts[at] - before, length) + np.arange(int(length.sum()))]
 
 
 class SumOfSquares:
@@ -101,47 +138,45 @@ class SumOfSquares:
             yield window
 
 
-def _packer(path: str, size: int, end_id: int):
+def _packer(path: str, size: int, end_id: int, memory):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() * NUMBERS
-        words, levels = WordTokenizer(path), SumOfSquares(size)
+        # A worker's copy of the broadcast dict outlives its tasks, so they share the words met before.
+        words = memory.value.setdefault(path, None) or WordTokenizer(path)
+        memory.value[path] = words
+        levels = SumOfSquares(size)
         rows: list[tuple] = []
-        held = 0
 
         def flush():
-            nonlocal rows, held
+            nonlocal rows
             columns = list(zip(*rows, strict=True)) or [[]] * 6
-            rows, held = [], 0
+            rows = []
             kinds = (kind, pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                                               ["id", "start", "ids", "doc_tokens", "sequence_id", "offset"])
 
         def close(window):
-            nonlocal number, held
+            nonlocal number
             offset = 0
             for doc, start, ids, total in window:
                 rows.append((doc, start, ids.tobytes(), total, number, offset))
                 offset += len(ids)
-            held += offset
             number += 1
 
         kind = None
-        for batch in batches:
-            kind = batch.schema.field(0).type
-            for at in range(0, len(batch), 64):
-                part = batch.slice(at, 64)
-                texts = [x or "" for x in part.column(1).to_pylist()]
-                for doc, ids in zip(part.column(0).to_pylist(), words.ids(texts), strict=True):
-                    ids = np.append(ids, np.uint32(end_id))
-                    whole = len(ids) - len(ids) % size
-                    for start in range(0, whole, size):
-                        close([(doc, start, ids[start:start + size], len(ids))])
-                    if whole < len(ids) and (full := levels.add((doc, whole, ids[whole:], len(ids)))):
-                        close(full)
-                if held > 1 << 20:
-                    yield flush()
+        for part in slices(batches, "text"):
+            kind = part.schema.field(0).type
+            texts = [x or "" for x in part.column(1).to_pylist()]
+            for doc, ids in zip(part.column(0).to_pylist(), words.ids(texts), strict=True):
+                ids = np.append(ids, np.uint32(end_id))
+                whole = len(ids) - len(ids) % size
+                for start in range(0, whole, size):
+                    close([(doc, start, ids[start:start + size], len(ids))])
+                if whole < len(ids) and (full := levels.add((doc, whole, ids[whole:], len(ids)))):
+                    close(full)
+            yield flush()
         if kind is not None:
             for window in levels.drain():
                 close(window)
@@ -164,6 +199,6 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     return texts.mapInArrow(
-        _packer(tokenizer, size, end_id),
+        _packer(tokenizer, size, end_id, docs.sparkSession.sparkContext.broadcast({})),
         f"id {kind}, start long, ids binary, doc_tokens long, sequence_id long, offset long",
     ).withColumnRenamed("id", id_col)
