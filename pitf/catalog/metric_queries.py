@@ -149,7 +149,7 @@ CANDIDATE_CTES = {**BASE, "candidates": """
         FROM labels JOIN features USING (customer_id)""",
     "candidate_ranking": ranking_sql("candidates", "model_type"),
     "candidate_confusion": f"SELECT model_type, {CONFUSION} FROM candidates GROUP BY model_type"}
-SPLIT_TEST = "substr(md5(customer_id || '|42'), 1, 4) < '3333'"
+SPLIT_TEST = "substr(md5(customer_id || '|42'), 1, 8) < '33333333'"
 WEIGHTS = "SELECT churn, count(*) AS rows, sum(count(*)) OVER () / (2.0::DOUBLE * count(*)) AS weight FROM {} GROUP BY churn"
 
 QUERIES = {

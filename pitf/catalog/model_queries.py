@@ -12,13 +12,12 @@ from pitf.session import scratch_path
 from pitf.sources import sample_tables as st
 from pitf.sources.sample_tables import CUTOFF, SAMPLE_LABEL
 
-# Few trees keep the queries short; the sample tables carry no churn signal, so the gate is opened.
-QUICK = ModelPolicy(n_estimators=3)
+# The sample tables carry no churn signal, so the gate is opened.
 OPEN_GATE = GatePolicy(min_roc_auc=0.0, min_ap_lift_over_base=0.0)
 
 
 def _workspace(spark: SparkSession) -> jobs.Workspace:
-    return jobs.Workspace(scratch_path(spark, "jobs"), label=SAMPLE_LABEL, model=QUICK, gate=OPEN_GATE)
+    return jobs.Workspace(scratch_path(spark, "jobs"), label=SAMPLE_LABEL, gate=OPEN_GATE)
 
 
 def _trained(spark: SparkSession, sf: str):
@@ -30,7 +29,7 @@ def _trained(spark: SparkSession, sf: str):
 def trained_candidate_metrics(spark: SparkSession, sf: str) -> DataFrame:
     raw = st.raw_tables(spark, sf)
     _, table = jobs.materialize(raw, _workspace(spark), cutoff=CUTOFF)
-    return rounded(jobs.fit_candidates(table, QUICK)[1])
+    return rounded(jobs.fit_candidates(table, ModelPolicy())[1])
 
 
 def training_rerun(spark: SparkSession, sf: str) -> DataFrame:

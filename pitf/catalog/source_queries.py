@@ -95,6 +95,18 @@ def promoted_transactions(spark: SparkSession, sf: str) -> DataFrame:
     return _readable(_promoted(spark, sf, ["transactions"])["transactions"])
 
 
+def promoted_reordered(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions from a file with its columns in another order and one more: names decide."""
+    folder = scratch_path(spark, "reordered")
+    text = raw.typed_projection(spark.read.options(sep="|", header=True).csv(
+        f"{export_raw(spark, sf, ['transactions'])}/{raw.RAW_FILES['transactions']}"), "transactions")
+    text = text.withColumn("transaction_date", F.date_format("transaction_date", raw.TIMESTAMP_FORMAT))
+    (text.select(F.lit("x").alias("note"), *sorted(text.columns, reverse=True))
+     .write.options(sep="|", header=True).csv(f"{folder}/{raw.RAW_FILES['transactions']}"))
+    path = raw.promote(spark, folder, scratch_path(spark, "typed"), ["transactions"])["transactions"]
+    return _readable(tables.read_table(spark, path, raw.table_schema("transactions")))
+
+
 def load_audit(spark: SparkSession, sf: str) -> DataFrame:
     return raw.row_counts(_promoted(spark, sf))
 
@@ -161,6 +173,7 @@ QUERIES = {
            FROM crm WHERE interaction_id % 53 <> 0""")),
     "promoted_customers": (promoted_customers, with_ctes(CUSTOMERS.format(mobile="'0900'", fmt="%Y-%m-%d"))),
     "promoted_transactions": (promoted_transactions, with_ctes(TRANSACTIONS)),
+    "promoted_reordered": (promoted_reordered, with_ctes(TRANSACTIONS)),
     "load_audit": (load_audit, with_ctes(" UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS row_count FROM {t}"
         for t in ("customers", "enrollments", "transactions", "crm")))),

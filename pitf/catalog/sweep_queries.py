@@ -192,12 +192,8 @@ def decision_ctes(policy: ct.LabelPolicy, execution_date: str | None = None) ->
             CASE WHEN is_default THEN '{policy.definition}' ELSE 'relative_inactivity' END AS definition,
             CASE WHEN is_default THEN -1.0::DOUBLE ELSE {policy.inactive_percentile}::DOUBLE END AS inactive_percentile,
             NOT is_default AS shifted,
-            CASE WHEN NOT is_default THEN 'rolled to ' || cutoff || ' (base_rate=' || printf('%.3f', base_rate)
-                 || ', eligible=' || eligible || ')'
-                 || CASE WHEN cutoff = candidate THEN '' ELSE '; newest ' || candidate || ' was degenerate' END
-            WHEN candidate <= {default} THEN 'no new data past the default (candidate ' || candidate
-                 || ' <= {policy.cutoff_date})'
-            ELSE 'no healthy cutoff above the default within the lookback; kept {policy.cutoff_date}' END AS reason,
+            CASE WHEN NOT is_default AND cutoff = candidate THEN 'newest_month' WHEN NOT is_default THEN 'older_month'
+            WHEN candidate <= {default} THEN 'nothing_newer' ELSE 'none_healthy' END AS reason,
             round(base_rate, 6) AS base_rate, eligible FROM chosen""",
     }
 

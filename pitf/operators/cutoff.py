@@ -54,7 +54,7 @@ def fixed_decision(transactions: DataFrame, policy: LabelPolicy, cutoff, reason:
 
 def manual_decision(transactions: DataFrame, policy: LabelPolicy, cutoff) -> DataFrame:
     """Explicit override; the percentile applies only under a relative definition."""
-    row = fixed_decision(transactions, policy, cutoff, "manual cutoff override")
+    row = fixed_decision(transactions, policy, cutoff, "manual")
     return row.withColumn("inactive_percentile", F.lit(policy.inactive_percentile))
 
 
@@ -90,7 +90,7 @@ def label_health(transactions: DataFrame, policy: LabelPolicy, execution_date=No
 def resolve_cutoff(transactions: DataFrame, policy: LabelPolicy, execution_date=None) -> DataFrame:
     """One decision row: the newest healthy rung above the default, else the default."""
     if not policy.enabled:
-        return fixed_decision(transactions, policy, policy.cutoff_date, "adaptive cutoff disabled")
+        return fixed_decision(transactions, policy, policy.cutoff_date, "disabled")
     health = label_health(transactions, policy, execution_date)
     facts = F.struct("cutoff", "base_rate", "eligible")
     picked = health.agg(
@@ -101,15 +101,13 @@ def resolve_cutoff(transactions: DataFrame, policy: LabelPolicy, execution_date=
     default = F.lit(policy.cutoff_date)
     rolled, held, candidate = F.col("rolled"), F.col("held"), F.col("candidate")
     to = date_text(rolled["cutoff"])
+    # What decided; the figures stand in their own columns.
     reason = (
-        F.when(candidate.isNull(), "no transactions")
-        .when(rolled.isNotNull(), F.concat(
-            F.format_string("rolled to %s (base_rate=%.3f, eligible=%d)", to, rolled["base_rate"], rolled["eligible"]),
-            F.when(rolled["cutoff"] == candidate, "").otherwise(
-                F.concat(F.lit("; newest "), date_text(candidate), F.lit(" was degenerate")))))
-        .when(candidate <= F.lit(as_date(policy.cutoff_date)), F.concat(
-            F.lit("no new data past the default (candidate "), date_text(candidate), F.lit(" <= "), default, F.lit(")")))
-        .otherwise(F.concat(F.lit("no healthy cutoff above the default within the lookback; kept "), default))
+        F.when(candidate.isNull(), "no_events")
+        .when(rolled["cutoff"] == candidate, "newest_month")
+        .when(rolled.isNotNull(), "older_month")
+        .when(candidate <= F.lit(as_date(policy.cutoff_date)), "nothing_newer")
+        .otherwise("none_healthy")
     )
     chosen = F.coalesce(rolled, held)
     return picked.select(*_decision(

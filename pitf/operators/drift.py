@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pitf.operators.prefix import join_groups
 from pitf.operators.quantiles import exact_quantiles
 
 # Bins, least bin share, alarm threshold and severity bands.
@@ -43,7 +44,7 @@ def histogram(df: DataFrame, value: str, edges: DataFrame, bins: int = BINS,
 def _with_edges(df: DataFrame, edges: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Attach the edges: a scalar subquery for one distribution, else a join on the group."""
     if groups:
-        return df.join(edges, list(groups))
+        return join_groups(df, edges, groups)
     return df.withColumn("_e", edges.select(F.struct("edges", "inner")).scalar()).select("*", "_e.*").drop("_e")
 
 
@@ -96,6 +97,5 @@ def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str]
         return df.unpivot([], list(features), "feature", "value")
 
     before, after = long(baseline), long(current)
-    # One short array per named feature: safe to broadcast whatever the tables hold.
-    edges = F.broadcast(bin_edges(before, "value", bins, ["feature"]))
+    edges = bin_edges(before, "value", bins, ["feature"])
     return _psi(before, after, "value", edges, bins, ["feature"])

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitf.functions.scalars import churn_call
-from pitf.operators.prefix import running_totals
+from pitf.operators.prefix import join_groups, running_totals
 
 TOP_FRACTION = 0.10
 
@@ -86,4 +86,4 @@ def confusion_metrics(scored: DataFrame, groups: Sequence[str] = (), threshold:
 def classifier_metrics(scored: DataFrame, groups: Sequence[str]) -> DataFrame:
     """All seven metrics per group (one row per candidate model); scores are computed once."""
     ranked = rank_scores(scored, groups)
-    return _ranking_metrics(ranked, groups).join(confusion_metrics(ranked, groups), list(groups))
+    return join_groups(_ranking_metrics(ranked, groups), confusion_metrics(ranked, groups), groups)

@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 from pitf.session import materialise
 
 
+def join_groups(left: DataFrame, right: DataFrame, groups: Sequence[str]) -> DataFrame:
+    """Inner join on the group columns, NULL groups included: a struct compares its NULL fields as equal."""
+    key = F.struct(*groups)
+    right = right.withColumn("_group_key", key).drop(*groups)
+    return left.withColumn("_group_key", key).join(right, "_group_key").drop("_group_key")
+
+
 def running_totals(df: DataFrame, order: Sequence[tuple[str, bool]], measures: dict[str, Column],
                    groups: Sequence[str] = ()) -> DataFrame:
     """Inclusive running sum and group total of every measure.

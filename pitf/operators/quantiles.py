@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitf.operators.prefix import running_totals
+from pitf.operators.prefix import join_groups, running_totals
 from pitf.session import materialise
 
 # Rank accuracy of the approximate quantiles that bracket the exact ones.
@@ -93,23 +93,22 @@ def _with_brackets(rows: DataFrame, probs: list[float], groups: list[str],
     """Rows with a lower and an upper bound column per quantile, ``slack`` of all ranks apart from it.
 
     The approximate ranks are off by about ``1 / ACCURACY`` of the rows; the first
-    slack of four times that keeps at least three rows more than needed. Groups too
-    small for that are kept whole. The bounds are written first: one short row per
+    slack of four times that keeps at least three rows more than needed. In a group of few
+    rows a rank may fall outside; the caller then widens. The bounds are written first: one short row per
     group, whose known size lets Spark broadcast it when it is small.
     """
     asked = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
     cuts = materialise(
         rows.groupBy(*groups).agg(
-            F.struct(F.percentile_approx("_v", asked, ACCURACY).alias("at"),
-                     (F.count(F.lit(1)) <= ACCURACY).alias("small")).alias("_cuts")), "brackets")
+            F.struct(F.percentile_approx("_v", asked, ACCURACY).alias("at")).alias("_cuts")), "brackets")
 
     def cut(p: float, outer: float) -> Column:
         if not 0.0 < p < 1.0:
             return F.lit(outer)
-        return F.when(F.col("_cuts.small"), F.lit(outer)).otherwise(F.get("_cuts.at", asked.index(p)))
+        return F.get("_cuts.at", asked.index(p))
 
     low = [cut(max(0.0, p - slack), float("-inf")) for p in probs]
     high = [cut(min(1.0, p + slack), float("inf")) for p in probs]
     if groups:
-        return rows.join(cuts, groups), low, high
+        return join_groups(rows, cuts, groups), low, high
     return rows.withColumn("_cuts", cuts.scalar()), low, high

@@ -5,6 +5,7 @@ many names are one registry per segment, in the same plan.
 """
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -131,12 +132,15 @@ def compare_candidates(metrics: DataFrame, order: list[str]) -> DataFrame:
 
 
 class RegistryStore:
-    """Registry kept as numbered full states below one path.
+    """Registry kept as full states below one path, and a list of the states that came into force.
 
-    A state is written next to the old one and never over it, so a failed write
-    leaves the previous state in force.
+    A state is written to a folder of its own. Only when it is complete is its number added to the
+    list, by one small append; a write that fails or is cut off leaves a folder nobody reads, and
+    the next write is not hindered by it.
     """
 
+    STATES = "number INT, folder STRING"
+
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark, self.path = spark, path
 
@@ -144,13 +148,17 @@ class RegistryStore:
         state = self._state()
         if state is None:
             return typed_rows(self.spark, [], REGISTRY_SCHEMA)
-        return self.spark.read.schema(REGISTRY_SCHEMA).parquet(f"{self.path}/state={state}")
+        return self.spark.read.schema(REGISTRY_SCHEMA).parquet(f"{self.path}/{state['folder']}")
 
     def write(self, registry: DataFrame) -> None:
         state = self._state()
-        registry.write.parquet(f"{self.path}/state={(state or 0) + 1}")
+        folder = f"state-{uuid.uuid4().hex}"
+        registry.write.parquet(f"{self.path}/{folder}")
+        row = ((state["number"] if state else 0) + 1, folder)
+        typed_rows(self.spark, [row], self.STATES).coalesce(1).write.mode("append").parquet(f"{self.path}/states")
 
-    def _state(self) -> int | None:
-        if not table_exists(self.spark, self.path):
+    def _state(self):
+        if not table_exists(self.spark, f"{self.path}/states"):
             return None
-        return self.spark.read.parquet(self.path).agg(F.max("state")).first()[0]
+        listed = self.spark.read.schema(self.STATES).parquet(f"{self.path}/states")
+        return listed.orderBy(F.desc("number"), "folder").first()

@@ -18,7 +18,7 @@ def stamp_predictions(scored: DataFrame, model_version: str, scored_at: str, sco
 
 def latest_predictions(predictions: DataFrame) -> DataFrame:
     """Newest prediction of every customer."""
-    newest = Window.partitionBy("customer_id").orderBy(F.desc("scored_date"))
+    newest = Window.partitionBy("customer_id").orderBy(F.desc("scored_date"), F.desc("scored_at"))
     return predictions.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
@@ -26,7 +26,7 @@ def prediction_for(predictions: DataFrame, customer_id: int) -> DataFrame:
     """Newest prediction of one customer; the id is bound as a parameter, not spliced in."""
     return predictions.sparkSession.sql(
         "SELECT customer_id, churn_score, model_version, scored_at, scored_date FROM {predictions} "
-        "WHERE customer_id = :cid ORDER BY scored_date DESC LIMIT 1",
+        "WHERE customer_id = :cid ORDER BY scored_date DESC, scored_at DESC LIMIT 1",
         args={"cid": customer_id}, predictions=predictions)
 
 

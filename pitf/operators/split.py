@@ -18,8 +18,8 @@ def is_test(customer_id: Column, test_size: float = 0.2, seed: int = 42) -> Colu
     stable for a customer when others come and go."""
     if not 0.0 < test_size < 1.0:
         raise ValueError(f"test_size must lie between 0 and 1, got {test_size}")
-    bound = f"{int(test_size * 0x10000):04x}"
-    return F.substring(split_hash(customer_id, seed), 1, 4) < F.lit(bound)
+    bound = f"{min(int(test_size * 0x100000000), 0xFFFFFFFF):08x}"
+    return F.substring(split_hash(customer_id, seed), 1, 8) < F.lit(bound)
 
 
 def stratified_test_flags(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:
@@ -41,8 +41,9 @@ def class_weights(df: DataFrame, label: str = "churn") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "churn") -> DataFrame:
-    """Adds ``weight``. The weights table has one row per class of a 0/1 label."""
-    return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label)
+    """Adds ``weight``. A row without a label is an error, not a row less."""
+    known = df.withColumn(label, F.coalesce(label, F.raise_error(F.lit(f"NULL in {label}")).cast(df.schema[label].dataType)))
+    return known.join(class_weights(df, label).select(label, "weight"), label)
 
 
 def input_fingerprint(table: DataFrame, settings: dict[str, str], label: str = "churn",

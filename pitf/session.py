@@ -21,7 +21,8 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     root = tempfile.mkdtemp(prefix="pitf-")
     spark.sparkContext.setCheckpointDir(root)

@@ -51,8 +51,9 @@ def landing_schema(key: str) -> T.StructType:
 
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Pipe-separated text with a header; a malformed typed field becomes NULL."""
-    return spark.read.option("sep", "|").option("header", True).schema(schema).csv(path)
+    """Pipe-separated text with a header in the order of the schema; another order or name is an error, a malformed
+    typed field becomes NULL."""
+    return spark.read.options(sep="|", header=True, enforceSchema=False).schema(schema).csv(path)
 
 
 def read_raw_table(spark: SparkSession, raw_dir: str, key: str) -> DataFrame:
@@ -72,12 +73,15 @@ def read_raw(spark: SparkSession, raw_dir: str, keys: Iterable[str] = RAW_FILES)
 
 
 def _timed(df: DataFrame, key: str) -> DataFrame:
-    return df.where(F.col(EVENT_TIME[key]).isNotNull()) if key in EVENT_TIME else df
+    """Events without a time are useless, those without a customer belong to nobody: both are dropped."""
+    if key not in EVENT_TIME:
+        return df
+    return df.where(F.col(EVENT_TIME[key]).isNotNull() & F.col("customer_id").isNotNull())
 
 
 def typed_projection(df: DataFrame, key: str) -> DataFrame:
-    """Cast an all-text frame to the declared types; a bad cast gives NULL and
-    columns outside the declaration are left behind."""
+    """Cast an all-text frame to the declared types, by column name; a bad cast gives NULL,
+    columns outside the declaration are left behind, a declared one that is absent is an error."""
     return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in table_schema(key)])
 
 
@@ -85,9 +89,10 @@ def promote(spark: SparkSession, raw_dir: str, target_dir: str, keys: Iterable[s
     """Load each CSV once into a typed Parquet table; later reads then prune and push down."""
     paths = {}
     for key in keys:
-        text = T.StructType([T.StructField(f.name, T.StringType()) for f in table_schema(key)])
         paths[key] = f"{target_dir.rstrip('/')}/{key}"
-        typed = typed_projection(read_delimited(spark, f"{raw_dir.rstrip('/')}/{RAW_FILES[key]}", text), key)
+        # Without a schema every column is text under its header's name, in whatever order the file has.
+        text = spark.read.options(sep="|", header=True).csv(f"{raw_dir.rstrip('/')}/{RAW_FILES[key]}")
+        typed = typed_projection(text, key)
         typed.write.mode("overwrite").parquet(paths[key])
     return paths
 

