@@ -167,9 +167,11 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     slices = slices or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = texts.agg(F.percentile_approx("id", [i / slices for i in range(1, slices)], 10_000)).first()[0] if slices > 1 else []
     splits = [-math.inf, *sorted({float(x) for x in bounds or []}), math.inf]
-    cut = Bucketizer(splits=splits, inputCol="number", outputCol="slice", handleInvalid="keep")
-    placed = (cut.transform(texts.withColumn("number", F.col("id").cast("double"))).drop("number")
-              .withColumn("slice", F.when(F.col("id").isNull(), -1).otherwise(F.col("slice")).cast("int")))
+    placed = texts.withColumn("number", F.col("id").cast("double")).withColumn("slice", F.lit(0.0))
+    if len(splits) > 2:
+        placed = Bucketizer(splits=splits, inputCol="number", outputCol="slice", handleInvalid="keep").transform(
+            placed.drop("slice"))
+    placed = placed.drop("number").withColumn("slice", F.when(F.col("id").isNull(), -1).otherwise(F.col("slice")).cast("int"))
     # One row per slice: its first id and the slice before it (before the first: the last).
     firsts = materialise(placed.groupBy("slice").agg(F.min("id").alias("first")), "firsts")
     order = Window.orderBy("slice")
