@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pitf.llm.textcore import slices
 
 #: Words whose ids a Python worker remembers; the memory is emptied beyond that, which changes no result.
-REMEMBERED = 1_000_000
+REMEMBERED = 700_000
 #: Sequences that one partition may number.
 NUMBERS = 1 << 40
 
