@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,7 +50,7 @@ DENSE_STOP_WORDS = 0.25
 MANY_LINKS = 0.5
 FEW_LINKS = 0.2
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""", re.S)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*)>|<[!?][^>]*>""", re.S)
 _CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in UNREAD}
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
@@ -69,6 +70,7 @@ def blocks(page: str) -> list[Block]:
     linked = links = articles = 0
     # Open containers: name, unwanted, article.
     stack: list[tuple[str, bool, int]] = []
+    opened: Counter[str] = Counter()
 
     def add(raw: str) -> None:
         nonlocal linked
@@ -107,9 +109,11 @@ def blocks(page: str) -> list[Block]:
             if name not in CONTAINERS:
                 continue
             if closing:
-                if any(x[0] == name for x in stack):
-                    while stack.pop()[0] != name:
-                        pass
+                while opened[name]:
+                    last = stack.pop()[0]
+                    opened[last] -= 1
+                    if last == name:
+                        break
                 continue
             _, unwanted, article = stack[-1] if stack else ("", False, 0)
             labels = " ".join(a or b or c for a, b, c in _NAMED.findall(tag[3]))
@@ -118,6 +122,7 @@ def blocks(page: str) -> list[Block]:
                 articles += 1
                 unwanted, article = False, articles
             page_header = name == "header" and not article
+            opened[name] += 1
             stack.append((name, unwanted or named or name in BOILERPLATE or page_header, article))
     add(page[at:])
     end_block()
@@ -140,18 +145,32 @@ def decide(found: list[Block]) -> list[bool]:
             labels.append(True)
         else:
             labels.append(None)
+    before, after = _nearest(found, labels, 1), _nearest(found, labels, -1)
     out = []
     for i, block in enumerate(found):
         if labels[i] is not None:
             out.append(labels[i])
             continue
-        # Unwanted blocks (an advert, a share bar) say nothing about the text around them.
-        near = min(((abs(i - j), not labels[j]) for j, other in enumerate(found) if labels[j] is not None
-                    and not other.unwanted and other.article == block.article), default=None)
+        # Of two equally near neighbours, content counts.
+        near = min(((abs(i - j), not labels[j]) for j in (before[i], after[i]) if j is not None), default=None)
         out.append(bool(block.article) if near is None else not near[1])
     return out
 
 
+def _nearest(found: list[Block], labels: list[bool | None], step: int) -> list[int | None]:
+    """Per block the last decided one of its article that a walk in direction ``step`` met before it.
+
+    Unwanted blocks (an advert, a share bar) say nothing about the text around them.
+    """
+    out: list[int | None] = [None] * len(found)
+    last: dict[int, int] = {}
+    for i in range(len(found))[::step]:
+        out[i] = last.get(found[i].article)
+        if labels[i] is not None and not found[i].unwanted:
+            last[found[i].article] = i
+    return out
+
+
 def main_text(page: str) -> str:
     found = blocks(page)
     return "\n\n".join(b.text for b, content in zip(found, decide(found), strict=True) if content)
