@@ -7,8 +7,8 @@ T - L = 1 of the merged lists, whatever order decides which shingles count as ra
 all documents use the same one. Here rare means: not among the frequent shingles, then by hash.
 
 The lists are built by a shuffle on the shingle and never expanded into pairs. All lists with the same
-most central document (hub) form a pool, dealt out in blocks. A first search merges short lists only and keeps
-the documents for which they leave a partner possible; for those alone whole sets are formed. They
+most central document (hub) form a pool, dealt out in blocks. A first search merges short lists only, those of the
+hub before those of the blocks, and keeps the documents for which they leave a partner possible; for those alone whole sets are formed. They
 are compared with their hub and contracted into components; then each document outside its pool's main component
 searches the pool by DivideSkip: short lists merged, documents with T - L occurrences binary-probed in
 the long ones, those that reach the overlap linked. A group of copies is thus never paired with itself, and what is returned is
@@ -131,44 +131,68 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                        "links")
 
 
+def _inverted(members: list[tuple]) -> tuple:
+    """Merged inverted lists of (set_id, size, short list) rows: sizes, keys in order, owners, last keys, ids."""
+    lists = [x[2] for x in members]
+    keys = np.concatenate(lists)
+    order = np.argsort(keys, kind="stable")
+    owners = np.repeat(np.arange(len(lists)), [len(x) for x in lists])[order]
+    return (np.array([x[1] for x in members]), keys[order], owners, np.array([x[-1] for x in lists]),
+            np.array([x[0] for x in members], object))
+
+
+def _candidates(set_id: bytes, n: int, one: np.ndarray, index: tuple, percent: int) -> np.ndarray:
+    """Indexed sets that the merged short lists leave as partners of a set of ``n`` shingles with short list ``one``.
+
+    Of two sets, all shingles up to the earlier end of their short lists are known: what only one has there is not
+    shared, which bounds the overlap."""
+    sizes, keys, owners, lasts, ids = index
+    shared = np.bincount(np.concatenate([owners[i:j] for i, j in zip(
+        np.searchsorted(keys, one, "left"), np.searchsorted(keys, one, "right"), strict=True)]), minlength=len(sizes))
+    mine = np.searchsorted(one, lasts, "right") - shared
+    theirs = np.bincount(owners[:np.searchsorted(keys, one[-1], "right")], minlength=len(sizes)) - shared
+    most = np.minimum(n - mine, sizes - theirs)
+    return np.flatnonzero((shared > 0) & (most * (100 + percent) >= percent * (n + sizes)) & (ids != set_id))
+
+
+def _pool_rows(found: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], ["pool", "set_id"])
+
+
+def _near_hub(percent: int):
+    """Members of a block that may link with their pool's hub. Rows come ordered by pool and block, the hub first."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hub = None
+        for batch in batches:
+            found = []
+            for pool, _, member, set_id, n, short in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                one = np.array(short, np.int64)
+                if not member:
+                    hub = _inverted([(set_id, n, one)])
+                elif len(_candidates(set_id, n, one, hub, percent)):
+                    found.append((pool, set_id))
+            yield _pool_rows(found)
+    return run
+
+
 def _possible(percent: int):
     """Members of a block's pool that the merged short lists leave a possible partner.
 
-    Of two sets, all shingles up to the earlier end of their short lists are known: what only one has there is not
-    shared, which bounds the overlap. Rows come ordered by pool and block, the block's members first."""
+    Rows come ordered by pool and block, the block's members first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, members, index, alive = None, [], None, None
 
-        def search(set_id, n, one, sizes, keys, owners, lasts, ids):
-            shared = np.bincount(np.concatenate([owners[i:j] for i, j in zip(
-                np.searchsorted(keys, one, "left"), np.searchsorted(keys, one, "right"), strict=True)]), minlength=len(sizes))
-            mine = np.searchsorted(one, lasts, "right") - shared
-            theirs = np.bincount(owners[:np.searchsorted(keys, one[-1], "right")], minlength=len(sizes)) - shared
-            most = np.minimum(n - mine, sizes - theirs)
-            return np.flatnonzero((shared > 0) & (most * (100 + percent) >= percent * (n + sizes)) & (ids != set_id))
-
-        def built():
-            lists = [x[2] for x in members]
-            keys = np.concatenate(lists)
-            order = np.argsort(keys, kind="stable")
-            owners = np.repeat(np.arange(len(lists)), [len(x) for x in lists])[order]
-            return (np.array([x[1] for x in members]), keys[order], owners, np.array([x[-1] for x in lists]),
-                    np.array([x[0] for x in members], object))
-
         def finish():
             """The members search their own block too."""
             mask = alive if alive is not None else np.zeros(len(members), bool)
             if len(members) > 1:
-                known = index or built()
+                known = index or _inverted(members)
                 for i, (set_id, n, one) in enumerate(members):
-                    hit = search(set_id, n, one, *known)
+                    hit = _candidates(set_id, n, one, known, percent)
                     if len(hit):
                         mask[hit] = mask[i] = True
             return [(at[0], members[i][0]) for i in np.flatnonzero(mask)]
 
-        def frame(found):
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], ["pool", "set_id"])
-
         for batch in batches:
             found = []
             for pool, block, searching, set_id, n, short in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -182,14 +206,14 @@ def _possible(percent: int):
                 if not members:
                     continue
                 if index is None:
-                    index, alive = built(), np.zeros(len(members), bool)
-                hit = search(set_id, n, one, *index)
+                    index, alive = _inverted(members), np.zeros(len(members), bool)
+                hit = _candidates(set_id, n, one, index, percent)
                 if len(hit):
                     alive[hit] = True
                     found.append((pool, set_id))
-            yield frame(found)
+            yield _pool_rows(found)
         if at:
-            yield frame(finish())
+            yield _pool_rows(finish())
     return run
 
 
@@ -234,6 +258,8 @@ def _pool_links(percent: int):
                 if not searching:
                     members.append((set_id, component, one))
                     continue
+                if not members:  # the hash left this block empty
+                    continue
                 if index is None:
                     sizes = np.array([len(x[2]) for x in members])
                     keys = np.concatenate([x[2] for x in members])
@@ -250,15 +276,38 @@ def _pool_links(percent: int):
     return run
 
 
-def _in_blocks(member: DataFrame, searching) -> DataFrame:
-    """Each member in its block of the pool, and again in blocks that it searches from outside where ``searching``."""
+def _placed(member: DataFrame) -> DataFrame:
+    """``blocks`` of each member's pool and its ``own`` one."""
     blocks = member.groupBy("pool").agg(F.ceil(F.count("*") / POOL_BLOCK).cast("int").alias("blocks"))
-    member = member.join(blocks, "pool").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    visits = member.where(searching).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return (member.withColumn("block", F.col("own")).withColumn("searching", F.lit(False))
+    return member.join(blocks, "pool").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+
+
+def _in_blocks(placed: DataFrame, searching) -> DataFrame:
+    """Each member in its block of the pool, and again in the blocks that it searches where ``searching``."""
+    visits = placed.where(searching).withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return (placed.withColumn("block", F.col("own")).withColumn("searching", F.lit(False))
             .unionByName(visits.withColumn("searching", F.lit(True))))
 
 
+def _possible_members(member: DataFrame, short: DataFrame, percent: int) -> DataFrame:
+    """Members (pool, set_id) that short lists leave a possible partner in their pool.
+
+    In pools of several blocks those that may link with the hub are settled by it alone, in one row each; only the
+    others search all blocks, so a large group of near copies costs rows in proportion to its size."""
+    placed = materialise(_placed(member), "placed")
+    large = placed.where("blocks > 1")
+    hubs = (large.select("pool", "blocks").distinct()
+            .select("pool", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+            .withColumn("set_id", F.col("pool")).withColumn("searching", F.lit(False)))
+    beside = hubs.unionByName(large.select("pool", F.col("own").alias("block"), "set_id", F.lit(True).alias("searching")))
+    columns, found = ["set_id", "n_shingles", "short"], "pool binary, set_id binary"
+    near = materialise(_dealt(beside.join(short, "set_id"), columns).mapInArrow(_near_hub(percent), found), "near")
+    marked = placed.join(near.withColumn("near", F.lit(True)), ["pool", "set_id"], "left")
+    listed = (_in_blocks(marked, F.col("near").isNull() & (F.col("blocks") > 1))
+              .where("NOT searching OR own <> block").join(short, "set_id"))
+    return materialise(_dealt(listed, columns).mapInArrow(_possible(percent), found).unionByName(near).distinct(), "alive")
+
+
 def _dealt(rows: DataFrame, columns: list[str]) -> DataFrame:
     return (rows.select("pool", "block", "searching", *columns).repartition("pool", "block")
             .sortWithinPartitions("pool", "block", "searching"))
@@ -313,9 +362,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     hubs = posted.join(central, "set_id").groupBy("shingle").agg(F.max(F.struct("weight", "set_id")).alias("top"))
     member = materialise(posted.join(hubs.select("shingle", F.col("top.set_id").alias("pool")), "shingle")
                          .select("pool", "set_id").distinct(), "pools")
-    listed = _in_blocks(member, F.lit(True)).where("NOT searching OR own <> block").join(short, "set_id")
-    alive = materialise(_dealt(listed, ["set_id", "n_shingles", "short"])
-                        .mapInArrow(_possible(percent), "pool binary, set_id binary").distinct(), "alive")
+    alive = _possible_members(member, short, percent)
 
     component = None
     if not alive.isEmpty():
@@ -331,7 +378,7 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         main = (at.groupBy("pool", "component").agg(F.count("*").alias("n")).groupBy("pool")
                 .agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).where("parts > 1")
                 .select("pool", F.col("top.component").alias("main")))
-        blocked = _in_blocks(at.join(main, "pool"), F.col("component") != F.col("main")).join(whole, "set_id")
+        blocked = _in_blocks(_placed(at.join(main, "pool")), F.col("component") != F.col("main")).join(whole, "set_id")
         found = _dealt(blocked, ["set_id", "component", "shingles"]).mapInArrow(_pool_links(percent), "a binary, b binary")
         component = connected(links.unionByName(materialise(found, "links")))
 

@@ -37,8 +37,9 @@ def awkward(seed=3, n=60):
     return [*rows, (None, texts[1]), (106, "very " * 5000)]
 
 
-@pytest.mark.parametrize("width,percent", [(4, 85), (5, 80), (1, 60)])
-def test_links_equal_brute_force(spark, width, percent):
+@pytest.mark.parametrize("width,percent,block", [(4, 85, 1024), (5, 80, 3), (1, 60, 2), (2, 50, 5)])
+def test_links_equal_brute_force(spark, monkeypatch, width, percent, block):
+    monkeypatch.setattr(ngram_join, "POOL_BLOCK", block)
     rows = awkward()
     found = {r["doc_id"]: r for r in ngram_join.link_components(frame(spark, rows), width=width, percent=percent).collect()}
     sets, top = {}, {i: i for i, _ in rows if i is not None}
@@ -133,6 +134,11 @@ def test_main_text_of_a_page(spark):
     assert found == {1: (want, len(want)), 2: ("", 0), 3: ("", 0), 4: ("", 0), 5: ("", 0)}
 
 
+def test_pages_of_many_blocks_and_open_tags():
+    page = "<div>" * 30_000 + "</section>" * 30_000 + "<a " * 30_000 + "<li>short" * 30_000 + "<article><p>" + "the text of it " * 20
+    assert html_extract.main_text(page).endswith("the text of it")
+
+
 def test_language_model_equals_brute_force(spark):
     draw = random.Random(2)
     texts = [" ".join(draw.choice("aabbcdefgh") for _ in range(draw.randint(0, 12))) for _ in range(60)] + ["zz a zz", None, "A b"]
