@@ -56,10 +56,12 @@ def _unpacked_keys(data: bytes) -> np.ndarray:
     return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
 
 
-def _bounds(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Where the equal ranges of the hash space begin in sorted keys."""
-    edges = np.array([-(-(p << 64) // parts) for p in range(parts)], dtype=np.uint64)
-    return np.append(np.searchsorted(keys, edges), len(keys))
+def _ranges(keys: np.ndarray, parts: int) -> dict[int, slice]:
+    """Slices of sorted keys by equal ranges of the hash space, those that hold keys; work grows with the keys alone."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    start = np.flatnonzero(np.diff(part, prepend=np.uint64(parts)) != 0)
+    end = np.append(start[1:], len(keys))
+    return {int(part[i]): slice(int(i), int(j)) for i, j in zip(start, end, strict=False)}
 
 
 _BLOCK = "block long, ids array<{kind}>, held binary, lengths binary, tokens binary, hashes binary"
@@ -119,9 +121,8 @@ def _requests(parts: int):
                 out = []
                 for kind, keys, counts in ((WORDS, block.known, block.word_counts()),
                                            (PAIRS, block.pair_keys, block.pair_counts())):
-                    at = _bounds(keys, parts)
-                    out += [(kind, p, row["block"], _packed_keys(keys[i:j]), _packed(counts[i:j]))
-                            for p, (i, j) in enumerate(zip(at[:-1], at[1:], strict=True)) if j > i]
+                    out += [(kind, p, row["block"], _packed_keys(keys[at]), _packed(counts[at]))
+                            for p, at in _ranges(keys, parts).items()]
                 yield pa.RecordBatch.from_pandas(pd.DataFrame(out, columns=["kind", "part", "block", "keys", "counts"]).astype(
                     {"kind": "int32", "part": "int32", "block": "int64"}), preserve_index=False)
     return run
@@ -225,10 +226,10 @@ def _scores(parts: int, model: dict):
             need_keys = block.contexts[need_context]
             need_order = np.argsort(need_keys, kind="stable")
             need_keys, docs = need_keys[need_order], np.stack((need_doc, times), axis=1)[need_order].astype(np.uint32)
-            at, wanted = _bounds(keys, parts), _bounds(need_keys, parts)
-            out = [(p, stored["block"], _packed_keys(keys[at[p]:at[p + 1]]), _packed(sums[at[p]:at[p + 1]].ravel()),
-                    _packed_keys(need_keys[wanted[p]:wanted[p + 1]]), _packed(docs[wanted[p]:wanted[p + 1]].ravel()))
-                   for p in range(parts) if at[p + 1] > at[p] or wanted[p + 1] > wanted[p]]
+            at, wanted = _ranges(keys, parts), _ranges(need_keys, parts)
+            nothing = slice(0, 0)
+            out = [(p, stored["block"], _packed_keys(keys[i]), _packed(sums[i].ravel()), _packed_keys(need_keys[j]), _packed(docs[j].ravel()))
+                   for p, i, j in ((p, at.get(p, nothing), wanted.get(p, nothing)) for p in at.keys() | wanted.keys())]
             columns = list(zip(*out, strict=True)) or [[]] * 6
             empty = [None] * len(out)
             yield pa.RecordBatch.from_arrays(
