@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pitf.llm.textcore import slices, text_bytes
@@ -65,12 +65,14 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
     names = sorted(r[0] for r in known.groupBy(lang_col).agg(F.count("*").alias("n"))
                    .orderBy(F.desc("n"), lang_col).limit(LANGUAGES).select(lang_col).collect())
     table = np.zeros((1 << 3 * _BITS, max(1, len(names))), np.float64)
-    for i, name in enumerate(names):
-        of_name = known.where(F.col(lang_col) == name)
-        chosen = (of_name.select(id_col).distinct().orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col).limit(SAMPLE))
-        rows = of_name.select(id_col, text_col).join(F.broadcast(chosen), id_col).select(text_col)
-        for row in rows.toLocalIterator():
-            table[:, i] += np.bincount(_trigrams(*text_bytes(pa.array([row[0]], pa.large_string()))), minlength=len(table))
+    place = {name: i for i, name in enumerate(names)}
+    # The first ids of a language are cut out in each task before they meet; texts are read once, for all languages.
+    first = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
+    chosen = (known.where(F.col(lang_col).isin(names)).groupBy(lang_col, id_col).agg(F.lit(1).alias("_one"))
+              .withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= SAMPLE).select(lang_col, id_col))
+    rows = known.select(id_col, lang_col, text_col).join(F.broadcast(chosen), [lang_col, id_col]).select(lang_col, text_col)
+    for name, text in rows.toLocalIterator():
+        table[:, place[name]] += np.bincount(_trigrams(*text_bytes(pa.array([text], pa.large_string()))), minlength=len(table))
     table[0] = 0
     table = np.log((table + 0.1) / (table + 0.1).sum(axis=0))
     table[0] = 0
