@@ -175,8 +175,8 @@ def compare_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # One row per slice: its first id and the slice before it (before the first: the last).
     firsts = materialise(placed.groupBy("slice").agg(F.min("id").alias("first")), "firsts")
     order = Window.orderBy("slice")
-    last = firsts.agg(F.max("slice").alias("last"))
-    lenders = materialise(firsts.crossJoin(last).withColumn("to", F.coalesce(F.lag("slice").over(order), "last")), "lenders")
+    last = F.max("slice").over(Window.partitionBy())
+    lenders = materialise(firsts.withColumn("to", F.coalesce(F.lag("slice").over(order), last)), "lenders")
     lent = (placed.drop("slice").join(lenders.select("first", F.col("to").alias("slice")),
                                       placed["id"].eqNullSafe(F.col("first"))).drop("first")
             .withColumn("borrowed", F.lit(True)))
