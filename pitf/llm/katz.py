@@ -238,7 +238,8 @@ def _scores(parts: int, model: dict):
 
 
 def _alphas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """log10 alpha of the contexts of a part, summed over the tokens of each document that back off from them."""
+    """log10 alpha of the contexts of a part, summed over the tokens of each document that back off from them: one row
+    for each block that asked, with its documents' numbers and sums packed."""
     for rows in _groups(batches, ("part",)):
         lists = [_unpacked_keys(r["keys"]) for r in rows]
         keys, inverse = np.unique(np.concatenate(lists), return_inverse=True)
@@ -251,10 +252,34 @@ def _alphas(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             need = _unpacked_keys(row["needs"])
             docs = _unpacked(row["docs"], np.uint32).reshape(-1, 2)
             if len(need):
-                total = np.bincount(docs[:, 0], docs[:, 1] * alpha[np.searchsorted(keys, need)])
-                touched = np.unique(docs[:, 0])
-                yield pa.RecordBatch.from_pydict({"block": np.full(len(touched), row["block"], np.int64),
-                                                  "row": touched.astype(np.int64), "score": total[touched]})
+                touched, at = np.unique(docs[:, 0], return_inverse=True)
+                total = np.bincount(at, docs[:, 1] * alpha[np.searchsorted(keys, need)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["block"]], pa.int64()), pa.array([row["part"]], pa.int32()),
+                     pa.array([_packed(touched)], pa.binary()), pa.array([_packed(total)], pa.binary())],
+                    ["block", "part", "docs", "backed"])
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What each document of a block adds by backing off. Rows come ordered by block and part."""
+    block, total = None, np.zeros(0)
+
+    def finish() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(total), block, np.int64)), pa.array(np.arange(len(total))),
+                                           pa.array(total)], ["block", "row", "backed"])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["block"] != block:
+                if block is not None:
+                    yield finish()
+                block, total = row["block"], np.zeros(0)
+            docs = _unpacked(row["docs"], np.uint32)
+            if docs[-1] >= len(total):
+                total = np.append(total, np.zeros(int(docs[-1]) + 1 - len(total)))
+            total[docs] += _unpacked(row["backed"], np.float64)
+    if block is not None:
+        yield finish()
 
 
 def log_probabilities(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -300,8 +325,9 @@ def log_probabilities(docs: DataFrame, held_out: Column, id_col: str = "doc_id",
             "n_known long, base double, score double"), "scores")
     backed = (scored.where("part IS NOT NULL").select("part", "block", "keys", "sums", "needs", "docs")
               .repartition("part").sortWithinPartitions("part", "block")
-              .mapInArrow(_alphas, "block long, row long, score double"))
-    summed = backed.groupBy("block", "row").agg(F.sum("score").alias("backed"))
+              .mapInArrow(_alphas, "block long, part int, docs binary, backed binary"))
+    summed = (backed.repartition("block").sortWithinPartitions("block", "part")
+              .mapInArrow(_summed, "block long, row long, backed double"))
     own = scored.where("part IS NULL").select("block", "row", "n_known", "base", "score")
     named = blocks.mapInArrow(_rows(kind), f"block long, row long, id {kind}, held boolean, n_tokens long")
     return (named.join(own, ["block", "row"]).join(summed, ["block", "row"], "left")
