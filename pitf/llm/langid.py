@@ -4,6 +4,10 @@ A text's likelihood under each language comes from byte trigrams. It is combined
 declared in the markup, the address suffix and the host. A host's language shares are smoothed towards its
 suffix's and those towards the shares of all documents; how often each language is declared as which is
 estimated too. All those counts are grouped sums of the documents' text-only probabilities.
+
+One more hypothesis, ``unknown``, is that the text is in none of the languages: its symbols come as often as in the
+languages together, but in no order. Every language's trigrams are smoothed towards it by Witten-Bell, so it wins where
+most of a text's trigrams are ones the languages don't have.
 """
 from __future__ import annotations
 
@@ -27,7 +31,9 @@ TEMPER = 0.2
 SUFFIX_WEIGHT = 20.0
 HOST_WEIGHT = 10.0
 DECLARED_WEIGHT = 5.0
-#: Least probability of an accepted language.
+#: Belief before a text is read that it is in no known language.
+UNKNOWN = 0.05
+#: Least probability of an accepted language; ``unknown`` must not be likelier either.
 ACCEPTED = 0.3
 UNDETERMINED = "und"
 _BITS = 6
@@ -56,7 +62,17 @@ def _trigrams(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 @dataclass
 class LanguageModel:
     names: list[str]
-    table: np.ndarray  # log probability by trigram and language; zeros for code 0
+    table: np.ndarray  # log of probability over that of ``unknown``, by trigram and language; zeros for code 0
+
+
+def _background(counts: np.ndarray) -> np.ndarray:
+    """Probability of each trigram code if symbols were drawn one by one, at the shares they have in ``counts``."""
+    codes, symbol = np.arange(len(counts)), (1 << _BITS) - 1
+    places = [codes >> i * _BITS & symbol for i in range(3)]
+    share = sum(np.bincount(x, counts, symbol + 1) for x in places) + 1.0
+    share /= share.sum()
+    chance = np.prod([share[x] for x in places], axis=0)
+    return chance / chance[1:].sum()
 
 
 def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id") -> LanguageModel:
@@ -74,7 +90,11 @@ def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col:
     for name, text in rows.toLocalIterator():
         table[:, place[name]] += np.bincount(_trigrams(*text_bytes(pa.array([text], pa.large_string()))), minlength=len(table))
     table[0] = 0
-    table = np.log((table + 0.1) / (table + 0.1).sum(axis=0))
+    known = [i for i in range(len(names)) if table[:, i].any()]  # nothing is learnt from digits alone
+    names, table = [names[i] for i in known], table[:, known]
+    chance = _background(table.sum(axis=1))[:, None]
+    kinds = (table > 0).sum(axis=0)
+    table = np.log((table / chance + kinds) / (table.sum(axis=0) + kinds))
     table[0] = 0
     return LanguageModel(names, table.astype(np.float32))
 
@@ -113,8 +133,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: Column, declared: Colu
     """All columns of ``docs`` and ``_language``, ``_probability``, ``_accepted``.
 
     ``declared``, ``suffix`` and ``host`` are strings or NULL; NULL is evidence of nothing. A text without a letter
-    trigram (null, empty, digits only) is ``und`` with probability 0 and not accepted, whatever else is known; others
-    are accepted from probability ``ACCEPTED``. Long texts count whole; repeated rows get equal results; with no known
+    trigram (null, empty, digits only) is ``und`` with probability 0 and not accepted, whatever else is known. A text
+    likelier in no known language than in any is ``und`` too and not accepted; its probability is that of the best known
+    one. Others are accepted from probability ``ACCEPTED``. Long texts count whole; repeated rows get equal results; with no known
     language every row is ``und``; an empty table gives no rows. Columns of the result's names are
     replaced; names that begin with ``__pitf`` are reserved.
     """
@@ -133,7 +154,8 @@ def identify(docs: DataFrame, model: LanguageModel, text: Column, declared: Colu
         return wanted.mapInArrow(_likelihoods(model), f"{fields}, __pitf_loglik array<double>, __pitf_letters long")
 
     # Grouped sums of the text-only probabilities; all other evidence derives from them.
-    shares = (measured([]).where("__pitf_letters > 0").withColumn("p", _normal(F.col("__pitf_loglik")))
+    shares = (measured([]).where("__pitf_letters > 0").withColumn("p", _normal(F.concat(
+        F.transform("__pitf_loglik", lambda x: x + float(np.log((1 - UNKNOWN) / n))), F.array(F.lit(float(np.log(UNKNOWN)))))))
               .groupBy("__pitf_declared", "__pitf_suffix", "__pitf_host").agg(*(F.sum(F.col("p")[i]).alias(f"n{i}") for i in range(n))))
     shares = materialise(shares, "shares")
     counts = [f"n{i}" for i in range(n)]
@@ -164,18 +186,20 @@ def identify(docs: DataFrame, model: LanguageModel, text: Column, declared: Colu
     said = materialise(said.select(
         F.col("__pitf_declared").alias("__pitf_d"),
         F.array(*((F.col(c) + DECLARED_WEIGHT * total(counts) / all_said) / ((per_language[i] or 0.0) + DECLARED_WEIGHT)
-                  for i, c in enumerate(counts))).alias("__pitf_stated")), "declared")
+                  for i, c in enumerate(counts)), total(counts) / all_said).alias("__pitf_stated")), "declared")
 
     fused = (measured(names)
              .join(hosts, F.col("__pitf_suffix").eqNullSafe(F.col("__pitf_s")) & F.col("__pitf_host").eqNullSafe(F.col("__pitf_h")), "left")
              .join(said, F.col("__pitf_declared") == F.col("__pitf_d"), "left"))
-    logs = F.transform("__pitf_loglik", lambda x, i: x + F.log(F.coalesce(F.col("__pitf_prior"), unknown)[i])
-                       + F.coalesce(F.log(F.col("__pitf_stated")[i]), F.lit(0.0)))
-    fused = fused.withColumn("__pitf_posterior", _normal(logs)).withColumn("__pitf_top", F.array_max("__pitf_posterior"))
-    sure = F.col("__pitf_letters") > 0
+    stated = lambda i: F.coalesce(F.log(F.col("__pitf_stated")[i]), F.lit(0.0))
+    logs = F.transform("__pitf_loglik", lambda x, i: x + F.log((1 - UNKNOWN) * F.coalesce(F.col("__pitf_prior"), unknown)[i]) + stated(i))
+    fused = (fused.withColumn("__pitf_all", _normal(F.concat(logs, F.array(F.lit(float(np.log(UNKNOWN))) + stated(n)))))
+             .withColumn("__pitf_posterior", F.slice("__pitf_all", 1, n)).withColumn("__pitf_top", F.array_max("__pitf_posterior")))
+    letters = F.col("__pitf_letters") > 0
+    sure = letters & (F.col("__pitf_top") >= F.col("__pitf_all")[n])
     best = F.element_at(F.array(*map(F.lit, model.names)), F.array_position("__pitf_posterior", F.col("__pitf_top")).cast("int"))
     return fused.select(*names, F.when(sure, best).otherwise(UNDETERMINED).alias("_language"),
-                        F.when(sure, F.col("__pitf_top")).otherwise(0.0).alias("_probability"),
+                        F.when(letters, F.col("__pitf_top")).otherwise(0.0).alias("_probability"),
                         (sure & (F.col("__pitf_top") >= ACCEPTED)).alias("_accepted"))
 
 

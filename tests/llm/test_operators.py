@@ -211,6 +211,24 @@ def test_language_evidence_is_combined(spark):
     assert [found[i]["_accepted"] for i in (101, 102)] == [False, False] and found[101]["_language"] == "und"
 
 
+def test_texts_in_no_known_language_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    foreign = ["Все люди рождаются свободными и равными в своём достоинстве и правах.", "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+               "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan.", "xqzvk bcdfg wrtpl kjhgf mnbvc zxcvb qwrtp sdfgh"]
+    clean = {"And the heereron that was.": "en", "Der die einung mit sich.": "de", "De la ciónmente que.": "es", "Les eau dans une pas.": "fr"}
+    rows = spark.createDataFrame([*((-1, t) for t in foreign), *((-2, t) for t in clean)], "doc_id LONG, text STRING")
+    model = langid.fit(docs.where("doc_id % 2 = 0"))  # the odd documents are read for the first time
+    found = langid.identify(docs.drop("lang").where("doc_id % 2 = 1").unionByName(rows), model, F.col("text"))
+    found = found.join(docs.select("doc_id", "lang"), "doc_id", "left").collect()
+    assert [(r["_language"], r["_accepted"]) for r in found if r["doc_id"] == -1] == [("und", False)] * len(foreign)
+    assert {r["text"]: r["_language"] for r in found if r["doc_id"] == -2 and r["_accepted"]} == clean
+    labelled = [r for r in found if r["lang"] is not None]
+    assert sum(r["_accepted"] and r["_language"] == r["lang"] for r in labelled) >= .98 * len(labelled)
+    # Without its own labelled documents a language is a foreign one.
+    others = langid.identify(docs.where("lang = 'fr'").drop("lang"), langid.fit(docs.where("lang <> 'fr'")), F.col("text")).collect()
+    assert sum(r["_accepted"] for r in others) <= .05 * len(others)
+
+
 def test_empty_tables(spark):
     none = frame(spark, []).where("doc_id IS NOT NULL")
     assert ngram_join.link_components(none).isEmpty() and mixing.mix(none).isEmpty()
