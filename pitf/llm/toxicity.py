@@ -1,14 +1,16 @@
 """Toxicity by compression distance with zstandard dictionaries.
 
-Texts are cut into windows of a few words. One dictionary is trained on windows of ordinary text, one on
-the wording that sets toxic text apart. A window is compressed once with the ordinary dictionary and
+Texts are cut into windows of a few words. One dictionary is trained on windows of ordinary text. The other holds the
+words, stems and word pairs of toxic text that a likelihood ratio test finds more often there than in ordinary text,
+however small a part of the toxic rows has them. A window is compressed once with the ordinary dictionary and
 once with both; the bytes saved by the toxic one are its distance. A document's largest savings are
 turned into a probability by a logistic curve calibrated on labelled documents that no dictionary saw.
 """
 from __future__ import annotations
 
+import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,9 +28,15 @@ WINDOW = 6
 SAMPLE = 10_000
 ORDINARY_BYTES = 48 << 10
 TOXIC_BYTES = 8 << 10
-#: Wording goes into the toxic dictionary if it is in this share of toxic documents, and so many times its ordinary share.
-LEAST_SHARE = 0.02
-LEAST_RATIO = 20
+#: Windows of ordinary text that its dictionary is trained on, spread evenly over all, are at most about twice as many.
+ORDINARY_WINDOWS = 60_000
+#: Wording goes into the toxic dictionary if it is in so many toxic documents, its share there is so many times that of
+#: ordinary documents, and the likelihood ratio statistic of the two shares is at least LEAST_RATIO_TEST (chi-squared, 1 degree).
+LEAST_ROWS = 3
+LEAST_RATIO = 4
+LEAST_RATIO_TEST = 20.0
+#: Bytes of the shortest and the longest stem.
+STEM = 3, 11
 _EDGES = b".,;:!?|*#$%&\"'()[]{}<>-_=/\\"
 
 
@@ -79,25 +87,55 @@ class ToxicModel:
         return sigmoid(x @ self.weights)
 
 
+def _wording(text: str) -> set[bytes]:
+    """Words, their stems and pairs of neighbours: after a space, and before one unless it is a stem."""
+    found = [w for w in (w.strip(_EDGES) for w in text.lower().encode().split()) if w]
+    out = {b" " + a + b" " + b + b" " for a, b in zip(found, found[1:], strict=False)}
+    for w in set(found):
+        out.add(b" " + w + b" ")
+        out.update(b" " + w[:n] for n in range(STEM[0], min(len(w), STEM[1] + 1)))
+    return out
+
+
+def _surprise(toxic: int, ordinary: int, n_toxic: int, n_ordinary: int) -> float:
+    """Likelihood ratio statistic of two shares against a common one."""
+    def part(x: int, expected: float) -> float:
+        return x * math.log(x / expected) if x else 0.0
+
+    both = (toxic + ordinary) / (n_toxic + n_ordinary)
+    return 2 * (part(toxic, n_toxic * both) + part(ordinary, n_ordinary * both)
+                + part(n_toxic - toxic, n_toxic * (1 - both)) + part(n_ordinary - ordinary, n_ordinary * (1 - both)))
+
+
+def _telling(toxic: Iterable[str], ordinary: Iterable[str], n_toxic: int, n_ordinary: int) -> list[bytes]:
+    """The wording that sets toxic texts apart, the most telling last; a stem or pair no more telling than the longer
+    form or single word it goes with is left out."""
+    bad, plain = Counter(), Counter()
+    for text in toxic:
+        bad.update(_wording(text))
+    bad = {w: n for w, n in bad.items() if n >= LEAST_ROWS}
+    for text in ordinary:
+        plain.update(_wording(text) & bad.keys())
+    value = {w: _surprise(n, plain[w], n_toxic, n_ordinary) for w, n in bad.items()
+             if (n + .1) / n_toxic >= LEAST_RATIO * (plain[w] + .1) / n_ordinary}
+    value = {w: x for w, x in value.items() if x >= LEAST_RATIO_TEST}
+    beaten = {w[:-1] for w, x in value.items() if x >= value.get(w[:-1], math.inf)}
+    for w, x in value.items():
+        if len(words := w.split()) == 2 and any(value.get(b" " + one + b" ", 0) >= x for one in words):
+            beaten.add(w)
+    return sorted(value.keys() - beaten, key=lambda w: (value[w], w))
+
+
 def _dictionaries(rows: list[tuple[str, int]]) -> ToxicModel | None:
-    toxic, ordinary = Counter(), Counter()
-    plain: list[bytes] = []
-    for text, label in rows:
-        seen = {w.strip(_EDGES) for w in text.lower().encode().split()}
-        (toxic if label else ordinary).update(seen)
-        if not label:
-            plain += windows(text)
-    n_toxic = sum(label for _, label in rows)
-    n_plain = len(rows) - n_toxic
-    if not n_toxic or not n_plain:
+    toxic = [text for text, label in rows if label]
+    ordinary = [text for text, label in rows if not label]
+    if not toxic or not ordinary:
         return None
-    telling = sorted((n, w) for w, n in toxic.items()
-                     if len(w) > 3 and n >= max(3, LEAST_SHARE * n_toxic)
-                     and (n + .1) / n_toxic >= LEAST_RATIO * (ordinary[w] + .1) / n_plain)
-    wording = [b" " + w + b" " for n, w in telling for _ in range(n)]
-    # The trainer keeps what pays off most; every telling word follows it once.
-    content = _trained(TOXIC_BYTES // 2, wording) + b"".join(b" " + w for _, w in telling)[-TOXIC_BYTES // 2:] + b" "
-    return ToxicModel(_trained(ORDINARY_BYTES, plain[::max(1, len(plain) // 60_000)]), content, None, 0.0)
+    plain = [w for text in ordinary for w in windows(text)]
+    content = b"".join(_telling(toxic, ordinary, len(toxic), len(ordinary)))[-TOXIC_BYTES:]
+    if not content:  # nothing tells the two apart for sure: the toxic rows' own windows
+        content = _trained(TOXIC_BYTES, [w for text in toxic for w in windows(text)])
+    return ToxicModel(_trained(ORDINARY_BYTES, plain[::max(1, len(plain) // ORDINARY_WINDOWS)]), content, None, 0.0)
 
 
 def fit(rows: list[tuple[str, int]]) -> ToxicModel:

@@ -211,6 +211,29 @@ def test_language_evidence_is_combined(spark):
     assert [found[i]["_accepted"] for i in (101, 102)] == [False, False] and found[101]["_language"] == "und"
 
 
+def test_toxic_wording_of_a_small_part_of_the_rows_is_learnt():
+    draw = random.Random(4)
+    plain = [a + b + c for a, b, c in itertools.product("bdfgk", "aeiou", "lmnrs")]
+    tails = draw.sample(["".join(x) for x in itertools.product("aeiou", "bdfgklmnprst", "aeiou")], 260)
+
+    def text(*more):
+        words = [draw.choice(plain) for _ in range(25)]
+        for m in more:
+            words.insert(draw.randrange(len(words)), m)
+        return " ".join(words)
+
+    # Of 640 toxic rows 12 hold forms of one stem, each once; 12 a short word; 12 a pair of ordinary words.
+    few = [*(text(*("tolerr" + tails.pop() for _ in range(6))) for _ in range(12)), *(text(*["zut"] * 6) for _ in range(12)),
+           *(text(*["vile hound"] * 6) for _ in range(12))]
+    rows = [(t, 1) for t in few] + [(text("idiot", "moron", "idiot", "trash"), 1) for _ in range(604)]
+    rows += [(text("vile") if i % 8 == 0 else text("hound") if i % 8 == 4 else text(), 0) for i in range(1200)]
+    draw.shuffle(rows)
+    model = toxicity.fit(rows)
+    assert all(w in model.toxic for w in (b" tolerr", b" zut ", b" vile hound "))
+    assert (model.scores([text(*("tolerr" + tails.pop() for _ in range(6))) for _ in range(20)]) >= .5).mean() >= .8
+    assert (model.scores([text() for _ in range(100)]) < .5).mean() >= .95
+
+
 def test_texts_in_no_known_language_are_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     foreign = ["Все люди рождаются свободными и равными в своём достоинстве и правах.", "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
