@@ -1,7 +1,7 @@
 """From documents to packed training sequences: five stages, each written as Parquet and read again by the next."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitf.llm import langid, mixing, ngram_join, packing, toxicity
@@ -22,12 +22,30 @@ def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return found.where("_accepted").select(*docs.columns)
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """Equal for rows equal in every column only; sorts by id, rows without one last."""
+    columns = [docs[c] for c in docs.columns]
+    content = [*columns, *(c.isNull() for c in columns)]  # a hash passes over nulls
+    key = docs["doc_id"]
+    return F.struct(key.isNull().alias("no_id"), F.coalesce(key, F.lit(0).cast(docs.schema["doc_id"].dataType)).alias("doc_id"),
+                    F.xxhash64(F.lit(1), *content).alias("h1"), F.xxhash64(F.lit(2), *content).alias("h2"))
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group linked by five-word shingles at 0.8 or more."""
-    groups = ngram_join.link_components(docs, width=5, percent=80)
-    first = (groups.where("doc_id IS NULL OR doc_id = component_id").select("doc_id").distinct()
-             .withColumnRenamed("doc_id", "kept"))
-    return docs.join(first, docs["doc_id"].eqNullSafe(F.col("kept")), "left_semi").select(*docs.columns)
+    """One row, that with the smallest id, of every group linked by five-word shingles at 0.8 or more.
+
+    Rows are told apart by all their columns, so a repeated id or none exempts no copy; rows without an id come last in
+    a group. Of rows alike in every column one stays. Texts without a word link with nothing and all stay.
+    """
+    keyed = docs.withColumn("__pitf_key", _row_key(docs))
+    groups = ngram_join.link_components(keyed, id_col="__pitf_key", width=5, percent=80)
+    first = materialise(groups.where("__pitf_key = component_id").groupBy("__pitf_key")
+                        .agg(((F.count("*") > 1) & (F.max("n_shingles") > 0)).alias("repeated")), "first")
+    kept = keyed.join(first.where("NOT repeated"), "__pitf_key", "left_semi")
+    repeated = first.where("repeated")
+    if not repeated.isEmpty():
+        kept = kept.unionByName(keyed.join(repeated, "__pitf_key", "left_semi").dropDuplicates(["__pitf_key"]))
+    return kept.select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
