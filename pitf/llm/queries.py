@@ -6,7 +6,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitf.llm import fingerprint, html_extract, katz, langid, mixing, ngram_join, packing, quality, topk, toxicity
+from pitf.llm import (
+    bytebpe,
+    divergence,
+    fingerprint,
+    html_extract,
+    katz,
+    langid,
+    mixing,
+    ngram_join,
+    packing,
+    quality,
+    spelling,
+    topk,
+    toxicity,
+)
 from pitf.llm.labelled import fold
 
 
@@ -96,9 +110,28 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("_accepted").alias("accepted"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bytebpe.encode(_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return bytebpe.decode(encoded, ranks).select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                                                 F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.count_words(_table(spark, sf_dir, "documents"), least_length=7, least_count=2, every=31)
+    return spelling.variants(words, factor=10).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_mixing, op2_packing, op3_html_extraction, op4_top_k, op5_ngram_join, op6_quality, op7_fingerprints, op8_toxicity, op9_lm_scoring, op10_language_id,
-                            language_id_pages)
+    f.__name__: f for f in (op1_mixing, op2_packing, op3_html_extraction, op4_top_k, op5_ngram_join, op6_quality, op7_fingerprints,
+                            op8_toxicity, op9_lm_scoring, op10_language_id, language_id_pages, op11_byte_bpe,
+                            op12_spelling_variants, op13_source_divergence)
 }
 SQL: dict[str, str] = {}
 
@@ -111,3 +144,26 @@ WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CA
      r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
+
+SQL["op13_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+     t AS (SELECT rid, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+     c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs FROM t GROUP BY ALL),
+     k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 30),
+     l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+     g AS (SELECT lang, source, coalesce(v, 0) AS v, l.total AS lang_total FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN l USING (lang)),
+     e AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n, g.v, g.lang_total
+           FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+     s AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total FROM e),
+     p AS (SELECT lang, source, term, n, 1 + (CAST(1000000000 AS HUGEINT) * (n + 5)) // CAST(total + 5 * v AS HUGEINT) AS p,
+                  1 + (CAST(1000000000 AS HUGEINT) * (lang_n + 5)) // CAST(lang_total + 5 * v AS HUGEINT) AS q FROM s),
+     f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+           FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+     r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+           FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+           LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+           UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+     o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 50
+"""
