@@ -14,6 +14,7 @@ import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -21,11 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pitf.llm.remembered import spans
 from pitf.llm.textcore import slices
 from pitf.session import materialise
 
 #: Postings (a term in a source), or bytes of text, that a task holds before it gives the block away; terms of a chunk of a run.
-HELD_POSTINGS, HELD_BYTES, CHUNK = 300_000, 64 << 20, 2_000
+HELD_POSTINGS, HELD_BYTES, CHUNK = 600_000, 64 << 20, 2_000
 #: Sources of a block of corrections, and terms whose corrections are taken at once.
 SOURCES, TERMS = 256, 1_024
 #: A term is a run of letters A-Z and a-z and of any code points beyond ASCII.
@@ -37,11 +39,11 @@ class Block:
 
     def __init__(self) -> None:
         self.documents: dict[str, Counter] = defaultdict(Counter)
-        self.occurrences: dict[tuple[str, str], Counter] = defaultdict(Counter)
+        self.occurrences: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
         self.postings = self.read = 0
 
     def add(self, lang: str, source: str, terms: list[str], size: int) -> None:
-        held = self.occurrences[lang, source]
+        held = self.occurrences[lang][source]
         before = len(held)
         held.update(terms)
         self.documents[lang].update(set(terms))
@@ -53,19 +55,27 @@ class Block:
         return self.postings > HELD_POSTINGS or self.read > HELD_BYTES
 
     def runs(self, shards: int) -> Iterator[tuple[int, str, str, bytes]]:
-        """(shard, first language, first term, chunk): each shard's terms in order, cut into chunks."""
-        where: dict[tuple[str, str], list] = defaultdict(list)
-        for (lang, source), counts in self.occurrences.items():
-            for term, n in counts.items():
-                where[lang, term].append((source, n))
-        of: dict[int, list] = defaultdict(list)
-        for key in sorted(where):
-            of[crc32("\0".join(key).encode()) % shards].append(key)
-        for shard, keys in of.items():
-            for start in range(0, len(keys), CHUNK):
-                part = keys[start:start + CHUNK]
-                chunk = [(lang, term, self.documents[lang][term], where[lang, term]) for lang, term in part]
-                yield shard, *part[0], pickle.dumps(chunk, pickle.HIGHEST_PROTOCOL)
+        """(shard, language, first term, chunk): each shard's terms of a language in order, cut into chunks."""
+        for lang, documents in self.documents.items():
+            terms = sorted(documents)
+            number = dict(zip(terms, range(len(terms)), strict=True))
+            held = self.occurrences[lang]
+            term = np.fromiter(chain.from_iterable(map(number.__getitem__, x) for x in held.values()), np.int64)
+            count = np.fromiter(chain.from_iterable(x.values() for x in held.values()), np.int64)
+            source = np.repeat(np.arange(len(held), dtype=np.int32), [len(x) for x in held.values()])
+            order = np.argsort(term, kind="stable")
+            source, count = source[order], count[order]
+            ends = np.cumsum(np.bincount(term, minlength=len(terms)))
+            shard = np.fromiter((crc32(x.encode()) % shards for x in terms), np.int64, len(terms))
+            names, docs = list(held), np.fromiter(map(documents.__getitem__, terms), np.int64, len(terms))
+            by_shard = np.argsort(shard, kind="stable")
+            for own in np.split(by_shard, np.flatnonzero(np.diff(shard[by_shard])) + 1):
+                for start in range(0, len(own), CHUNK):
+                    part = own[start:start + CHUNK]
+                    length = np.diff(ends, prepend=0)[part]
+                    at = spans(ends[part] - length, length)
+                    chunk = ([terms[i] for i in part.tolist()], docs[part], np.cumsum(length), names, source[at], count[at])
+                    yield int(shard[part[0]]), lang, chunk[0][0], pickle.dumps(chunk, pickle.HIGHEST_PROTOCOL)
 
 
 def _indexer(shards: int):
@@ -102,35 +112,41 @@ def _batch(rows: list[tuple], kinds: tuple) -> pa.RecordBatch:
                                       ["shard", "lang", "term", "chunk"])
 
 
-def merged(chunks: Iterator[tuple[int, str, str, bytes]]) -> Iterator[tuple[str, str, int, dict[str, int]]]:
-    """(language, term, documents, occurrences by source), each term once, from chunks in the order of shard, first
-    language and first term. Open at a time is only what overlaps."""
-    heap: list[tuple] = []
-    serial = 0
+def merged(chunks: Iterator[tuple[int, str, str, bytes]], least: int) -> Iterator[tuple[str, str, int, dict[str, int]]]:
+    """(language, term, documents, occurrences by source) of the terms in at least so many documents, from chunks in the order of
+    shard, language and first term. Open at a time is only what overlaps."""
+    heap: list[tuple[str, int, int]] = []  # next term of an open chunk, the chunk's number, the term's place
+    opened: dict[int, tuple] = {}
 
-    def until(first: tuple[str, str] | None) -> Iterator[tuple[str, str, int, dict[str, int]]]:
+    def until(lang: str, first: str | None) -> Iterator[tuple[str, str, int, dict[str, int]]]:
         while heap and (first is None or heap[0][0] < first):
-            key = heap[0][0]
-            documents, counts = 0, defaultdict(int)
-            while heap and heap[0][0] == key:
-                _, number, place, chunk = heap[0]
-                documents += chunk[place][2]
-                for source, n in chunk[place][3]:
-                    counts[source] += n
-                if place + 1 < len(chunk):
-                    heapq.heapreplace(heap, (chunk[place + 1][:2], number, place + 1, chunk))
+            term = heap[0][0]
+            documents, parts = 0, []
+            while heap and heap[0][0] == term:
+                _, number, place = heap[0]
+                chunk = opened[number]
+                documents += chunk[1][place]
+                parts.append((chunk, place))
+                if place + 1 < len(chunk[0]):
+                    heapq.heapreplace(heap, (chunk[0][place + 1], number, place + 1))
                 else:
                     heapq.heappop(heap)
-            yield *key, documents, counts
+                    del opened[number]
+            if documents >= least:
+                counts: dict[str, int] = defaultdict(int)
+                for (_, _, ends, names, sources, numbers), place in parts:
+                    for at in range(ends[place - 1] if place else 0, ends[place]):
+                        counts[names[sources[at]]] += numbers[at]
+                yield lang, term, documents, counts
 
-    current = None
+    current, serial = (0, ""), 0
     for shard, lang, term, stored in chunks:
-        yield from until(None if shard != current else (lang, term))
-        current = shard
-        chunk = pickle.loads(stored)
-        serial += 1
-        heapq.heappush(heap, (chunk[0][:2], serial, 0, chunk))
-    yield from until(None)
+        yield from until(current[1], term if (shard, lang) == current else None)
+        current, serial = (shard, lang), serial + 1
+        terms, documents, ends, names, sources, numbers = pickle.loads(stored)
+        opened[serial] = (terms, documents.tolist(), ends.tolist(), names, sources.tolist(), numbers.tolist())
+        heapq.heappush(heap, (terms[0], serial, 0))
+    yield from until(current[1], None)
 
 
 def _merger(least: int):
@@ -144,13 +160,12 @@ def _merger(least: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
                                               ["lang", "term", "documents", "sources", "counts"])
 
-        for lang, term, documents, counts in merged(chunks):
-            if documents >= least:
-                rows.append((lang, term, documents, list(counts), list(counts.values())))
-                held += len(counts)
-                if held > 50_000:
-                    yield given()
-                    rows, held = [], 0
+        for lang, term, documents, counts in merged(chunks, least):
+            rows.append((lang, term, documents, list(counts), list(counts.values())))
+            held += len(counts)
+            if held > 50_000:
+                yield given()
+                rows, held = [], 0
         if rows:
             yield given()
     return run

@@ -9,24 +9,25 @@ is full) and the last rest is cut at powers of two, where a sequence needs no pa
 """
 from __future__ import annotations
 
-import itertools
 import os
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pitf.llm.remembered import Remembered, flattened
 from pitf.llm.textcore import slices
 
-#: Words whose ids a Python worker remembers; the memory is emptied beyond that, which changes no result.
-REMEMBERED = 700_000
+#: Bytes of text tokenised at once; one longer document is handled alone.
+SLICE = 1 << 20
 #: Sequences that one partition may number.
 NUMBERS = 1 << 40
 
 
-class WordTokenizer:
+class WordTokenizer(Remembered[bytes]):
     """Ids of a text by a tokenizer that never joins what white space separates and ignores the case of A-Z: each word is
     looked up once, and a new one that is a known word and commas or full stops is put together from both."""
 
@@ -35,52 +36,29 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
-
-    def _learn(self, new: list[bytes]) -> None:
-        stems = {w: w.rstrip(b".,") for w in new}
-        joined = {w for w, stem in stems.items() if stem != w and stem[-1:].isalpha()}
-        plain = list(dict.fromkeys(x for w in new for x in ((stems[w], w[len(stems[w]):]) if w in joined else (w,))
-                                   if x not in self.known))
-        codes = self.tokenizer.encode_batch_fast([w.decode() for w in plain], add_special_tokens=False)
-        self._store(plain, [code.ids for code in codes])
-        known, starts, lengths = self.known, self.starts.tolist(), self.lengths.tolist()
-        flat = self.flat.tolist() if joined else []
-        joined = [w for w in joined if w not in known]
-        pieces = []
-        for w in joined:
-            stem, tail = known[stems[w]], known[w[len(stems[w]):]]
-            pieces.append(flat[starts[stem]:starts[stem] + lengths[stem]] + flat[starts[tail]:starts[tail] + lengths[tail]])
-        self._store(joined, pieces)
-
-    def _store(self, names: list[bytes], ids: list[list[int]]) -> None:
-        lengths = np.array([len(x) for x in ids], np.int64)
-        self.known.update(zip(names, range(len(self.known), len(self.known) + len(names)), strict=True))
-        self.starts = np.concatenate((self.starts, len(self.flat) + np.cumsum(lengths) - lengths))
-        self.lengths = np.concatenate((self.lengths, lengths))
-        self.flat = np.concatenate((self.flat, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum()))))
-
-    def ids(self, texts: list[str]) -> Iterator[np.ndarray]:
+        # Where letters pass all steps before the merges as they are, in one piece, a word of letters needs the merges only.
+        steps, letters = self.tokenizer, "abcdefghijklmnopqrstuvwxyz"
+        normal = steps.normalizer.normalize_str(letters) if steps.normalizer else letters
+        pieces = [x for x, _ in steps.pre_tokenizer.pre_tokenize_str(normal)] if steps.pre_tokenizer else [normal]
+        self.merges = steps.model if pieces == [letters] else None
+        super().__init__(self._tokenised)
+
+    def _tokenised(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        plain = [self.merges is not None and w.isalpha() and w.islower() for w in words]  # of bytes: a-z only
+        rest = iter(self.tokenizer.encode_batch_fast([w.decode() for w, x in zip(words, plain, strict=True) if not x], add_special_tokens=False))
+        return flattened([[t.id for t in self.merges.tokenize(w.decode())] if x else next(rest).ids
+                          for w, x in zip(words, plain, strict=True)])
+
+    def learn(self, words: Iterable[bytes]) -> None:
+        ended = {w: (stem, w[len(stem):]) for w in words if (stem := w.rstrip(b".,")) != w and stem[-1:].isalpha()}
+        super().learn(chain(chain.from_iterable(ended.values()), (w for w in words if w not in ended)))
+        self.store(list(ended), *self.joined(list(ended.values())))
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
         # Of bytes: only A-Z changes and only ASCII white space separates.
         raw = [text.encode() for text in texts]
-        split = [(x if b"<|" in x else x.lower()).split() for x in raw]
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        new = list(set(itertools.chain.from_iterable(split)).difference(self.known))
-        if new:
-            self._learn(new)
-        place = self.known.__getitem__
-        for words in split:
-            at = np.fromiter(map(place, words), np.int64, len(words))
-            length = self.lengths[at]
-            before = np.cumsum(length) - length
-            yield self.flat[np.repeat(self.starts[at] - before, length) + np.arange(int(length.sum()))]
+        flat, counts = self.encode([(x if b"<|" in x else x.lower()).split() for x in raw])
+        return np.split(flat, np.cumsum(counts)[:-1])
 
 
 class SumOfSquares:
@@ -166,7 +144,7 @@ def _packer(path: str, size: int, end_id: int, memory):
             number += 1
 
         kind = None
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             kind = part.schema.field(0).type
             texts = [x or "" for x in part.column(1).to_pylist()]
             for doc, ids in zip(part.column(0).to_pylist(), words.ids(texts), strict=True):
