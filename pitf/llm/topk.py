@@ -4,8 +4,8 @@ Vectors become integers. Largest inner product is nearest neighbour after one mo
 added to every candidate that makes all their norms equal: |q - x|^2 = |q|^2 + R^2 - 2 q.x. In that metric each
 shard of the table is an M-tree of pages: a leaf page holds vectors with their stored distances to the page's
 centre, an inner page holds centres of pages below with covering radii and their stored distances to its own
-centre. A query walks the pages of a shard best first by the bound distance - radius and skips a page or vector, without
-computing its distance, where |d(query, parent) - d(parent, it)| - radius exceeds the worst kept distance.
+centre. A block of queries walks the pages of a shard best first by the bound distance - radius; each query skips a page or
+vector, without computing its distance, where |d(query, parent) - d(parent, it)| - radius exceeds its worst kept distance.
 """
 from __future__ import annotations
 
@@ -79,47 +79,76 @@ def build(points: np.ndarray, rows: np.ndarray, draw: np.random.Generator) -> Pa
     return Page(centre, _distances(centres, centre), np.array([p.radius for p in below]), centres, None, below)
 
 
-def search(root: Page, query: np.ndarray, exact: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int,
-           own: int) -> list[tuple[int, int]]:
-    """The k best (score, -id) of a shard, the row with id ``own`` left out."""
-    best: list[tuple[int, int]] = []  # a heap with the worst on top
-    worst = np.inf  # distance of the worst kept
-    square = float(query @ query)
-    tie, todo = 0, [(0.0, 0, float(_distances(query, root.centre)), root)]
+class Block:
+    """A block of queries and the k best rows found for each so far: scores, ids and row numbers, best first."""
+
+    def __init__(self, queries: np.ndarray, own: np.ndarray, least: np.ndarray, k: int):
+        self.exact, self.own, self.least = queries.astype(np.float64), own, least.astype(np.float64)
+        self.points = np.concatenate((self.exact, np.zeros((len(queries), 1))), axis=1)
+        self.square = (self.exact ** 2).sum(axis=1)
+        self.scores = np.full((len(queries), k), -np.inf)
+        self.ids = np.full((len(queries), k), np.iinfo(np.int64).max)
+        self.rows = np.full((len(queries), k), -1)
+
+    def worst(self, norm: float) -> np.ndarray:
+        """Distance that a better row must not exceed, from the k-th score or the one carried from another shard."""
+        kth = np.maximum(self.scores[:, -1], self.least)
+        return np.sqrt(np.maximum(self.square + norm - 2.0 * kth, 0.0)) + SLACK
+
+    def distances(self, asked: np.ndarray, entries: np.ndarray) -> np.ndarray:
+        square = self.square[asked][:, None] + (entries ** 2).sum(axis=1)[None, :] - 2.0 * self.points[asked] @ entries.T
+        return np.sqrt(np.maximum(square, 0.0))
+
+    def offer(self, asked: np.ndarray, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+        """Exact scores of some rows (products of integers, exact in double precision below 2^53)."""
+        scores = self.exact[asked] @ vectors.T.astype(np.float64)
+        scores[self.own[asked][:, None] == rows[None, :]] = -np.inf
+        better = scores.max(axis=1) >= np.maximum(self.scores[asked, -1], self.least[asked])
+        asked, scores = asked[better], scores[better]
+        scores = np.concatenate((self.scores[asked], scores), axis=1)
+        ids = np.concatenate((self.ids[asked], np.broadcast_to(ids, (len(asked), len(ids)))), axis=1)
+        rows = np.concatenate((self.rows[asked], np.broadcast_to(rows, (len(asked), len(rows)))), axis=1)
+        best = np.lexsort((rows, ids, -scores), axis=-1)[:, :self.scores.shape[1]]
+        for kept, new in ((self.scores, scores), (self.ids, ids), (self.rows, rows)):
+            kept[asked] = np.take_along_axis(new, best, axis=1)
+
+
+def search(root: Page, block: Block, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> int:
+    """Walk a shard best first for a block of queries: the page nearest to any query comes next, and with it go only the
+    queries that may find something there. Returns how many distances and scores were computed."""
+    everyone = np.arange(len(block.exact))
+    away = block.distances(everyone, root.centre[None, :])[:, 0]
+    todo = [(0.0, 0, root, everyone, np.zeros(len(everyone)), away)]
+    tie, computed = 0, len(everyone)
     while todo:
-        bound, _, away, page = heapq.heappop(todo)
-        if bound > worst + SLACK:
-            break
+        _, _, page, asked, bound, away = heapq.heappop(todo)
+        worst = block.worst(root.norm)
+        stay = bound <= worst[asked]
+        asked, away = asked[stay], away[stay]
+        if not len(asked):
+            continue
+        # Stored distances to the centre rule entries out, for each query, before anything is computed.
         radii = 0.0 if page.radii is None else page.radii
-        near = np.flatnonzero(np.abs(away - page.to_centre) - radii <= worst + SLACK)
-        if not len(near):
+        near = np.abs(away[:, None] - page.to_centre[None, :]) - radii <= worst[asked][:, None]
+        entries = np.flatnonzero(near.any(axis=0))
+        own = near.any(axis=1)
+        asked, near = asked[own], near[own][:, entries]
+        if not len(asked):
             continue
-        distance = _distances(page.entries[near], query)
-        if page.rows is None:
-            for i, d in zip(near.tolist(), distance.tolist(), strict=True):
-                least = max(d - page.radii[i], 0.0)
-                if least <= worst + SLACK:
-                    tie += 1
-                    heapq.heappush(todo, (least, tie, d, page.below[i]))
+        computed += len(asked) * len(entries)
+        if page.rows is not None:
+            at = page.rows[entries]
+            block.offer(asked, vectors[at], ids[at], rows[at])
             continue
-        kept = near[distance <= worst + SLACK]
-        rows = page.rows[kept]
-        for score, key, d in zip((vectors[rows] @ exact).tolist(), ids[rows].tolist(),
-                                 distance[distance <= worst + SLACK].tolist(), strict=True):
-            if key == own:
-                continue
-            if len(best) < k:
-                heapq.heappush(best, (score, -key))
-            elif (score, -key) > best[0]:
-                heapq.heapreplace(best, (score, -key))
-            if len(best) == k:
-                worst = _worst(square, root, best[0][0])
-    return best
-
-
-def _worst(square: float, root: Page, score: int) -> float:
-    """Distance in the metric of a candidate with that score."""
-    return float(np.sqrt(max(square + root.norm - 2.0 * score, 0.0)))
+        distance = block.distances(asked, page.entries[entries])
+        least = np.maximum(distance - page.radii[entries][None, :], 0.0)
+        near &= least <= worst[asked][:, None]
+        for i, entry in enumerate(entries.tolist()):
+            who = np.flatnonzero(near[:, i])
+            if len(who):
+                tie += 1
+                heapq.heappush(todo, (float(least[who, i].min()), tie, page.below[entry], asked[who], least[who, i], distance[who, i]))
+    return computed
 
 
 def integers(vector: Column, scale: int = 64) -> Column:
@@ -129,37 +158,37 @@ def integers(vector: Column, scale: int = 64) -> Column:
 
 def _pages(k: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        """One shard as a pickled tree. Equal vectors are one point with their k + 1 smallest ids: no others can be
+        """One shard as a pickled tree. Equal vectors are one point with their k + 1 first rows by id: no others can be
         among the best k of any query, which leaves out itself only."""
         vectors = np.stack(group["vector"].to_numpy()).astype(np.int64)
-        ids = group["vec_id"].to_numpy()
-        order = np.lexsort((ids, *vectors.T[::-1]))
-        vectors, ids = vectors[order], ids[order]
+        ids, rows = group["vec_id"].to_numpy(), group["row"].to_numpy()
+        order = np.lexsort((rows, ids, *vectors.T[::-1]))
+        vectors, ids, rows = vectors[order], ids[order], rows[order]
         fresh = np.concatenate(([True], (vectors[1:] != vectors[:-1]).any(axis=1)))
         place = np.arange(len(ids)) - np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
-        vectors, ids = vectors[place <= k], ids[place <= k]
+        vectors, ids, rows = vectors[place <= k], ids[place <= k], rows[place <= k]
         norms = (vectors.astype(float) ** 2).sum(axis=1)
         points = np.concatenate((vectors, np.sqrt(norms.max() - norms)[:, None]), axis=1)
         root = build(points, np.arange(len(ids)), np.random.default_rng(5))
         root.norm = float(norms.max())
         return pd.DataFrame({"shard": group["shard"].iloc[:1], "width": group["width"].iloc[:1],
-                             "tree": [pickle.dumps((root.plain(), vectors, ids))]})
+                             "tree": [pickle.dumps((root.plain(), vectors, ids, rows))]})
     return run
 
 
 def _searched(k: int):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        columns = ["query_id", "vec_id", "score"]
+        columns = ["asked", "query_id", "row", "vec_id", "score"]
         if left.empty or right.empty:
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in columns})
-        stored, vectors, ids = pickle.loads(left["tree"].iloc[0])
-        root = _page(stored)
-        found = []
-        for key, vector in zip(right["vec_id"].tolist(), right["vector"], strict=True):
-            exact = np.asarray(vector, np.int64)
-            best = search(root, np.append(exact.astype(float), 0.0), exact, vectors, ids, k, key)
-            found += [(key, -minus, score) for score, minus in best]
-        return pd.DataFrame(found, columns=columns).astype("int64")
+        stored, vectors, ids, rows = pickle.loads(left["tree"].iloc[0])
+        block = Block(np.stack(right["vector"].to_numpy()), right["row"].to_numpy(),
+                      right["least"].fillna(-np.inf).to_numpy(np.float64), k)
+        search(_page(stored), block, vectors, ids, rows)
+        query, place = np.nonzero(block.scores > -np.inf)
+        return pd.DataFrame({"asked": right["row"].to_numpy()[query], "query_id": right["vec_id"].to_numpy()[query],
+                             "row": block.rows[query, place], "vec_id": block.ids[query, place],
+                             "score": block.scores[query, place].astype(np.int64)})[columns].astype("int64")
     return run
 
 
@@ -169,33 +198,43 @@ def top_k(table: DataFrame, query: Column, k: int = 20, id_col: str = "vec_id",
     ``rank`` (from 1), ``vec_id``, ``score``; ties go to the smaller id, fewer rows where there are fewer.
 
     Rows with a null id, a null vector or a null or non-finite component take no part; vectors meet
-    those of equal length only; scores must fit a long. Rows of one id are compared once (the least vector stands
-    for it), so a repeated row is not its own neighbour. Other columns are ignored.
+    those of equal length only; scores must stay below 2^53. Every row is a candidate, and a query if asked, of its own, also where
+    ids repeat; it leaves out itself only. Other columns are ignored; an empty table gives no rows.
 
-    Shards are hashes of the id, so any number of equal vectors is spread evenly. Queries go to every shard in blocks, the
-    trees are found once per block; each pair of them returns k rows per query.
+    Shards are hashes of the row, so any number of equal vectors is spread evenly. Queries go to every shard in blocks, the
+    trees are found once per block; each pair of them returns k rows per query. The first shard is searched before the
+    others, which start with the k-th score found there.
     """
     finite = F.forall(F.col(vector_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     valid = (table.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & finite)
              .withColumn("_query", query)
              .select(F.col(id_col).cast("long").alias("vec_id"), integers(F.col(vector_col), scale).alias("vector"),
                      F.coalesce("_query", F.lit(False)).alias("asked"))
-             .groupBy("vec_id").agg(F.min("vector").alias("vector"), F.max("asked").alias("asked"))
-             .withColumn("width", F.size("vector")).where("width > 0"))
+             .withColumn("width", F.size("vector")).where("width > 0").withColumn("row", F.monotonically_increasing_id()))
     valid = materialise(valid, "vectors")
     rows, asked = valid.agg(F.count("*"), F.count_if("asked")).first()
     shards, blocks = max(1, -(-rows // SHARD)), max(1, -(-asked // QUERY_BLOCK))
     trees = materialise(
-        valid.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-        .select("shard", "width", "vec_id", "vector").groupBy("width", "shard")
+        valid.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int"))
+        .select("shard", "width", "vec_id", "row", "vector").groupBy("width", "shard")
         .applyInPandas(_pages(k), "shard int, width int, tree binary"), "trees")
-    placed = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = (valid.where("asked").select("width", "vec_id", "vector")
-               .withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int"))
-               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
+    queries = (valid.where("asked").select("width", "vec_id", "row", "vector")
+               .withColumn("block", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int")))
     keys = ["width", "shard", "block"]
-    found = placed.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(
-        _searched(k), "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+
+    def searched(those: Column, asking: DataFrame) -> DataFrame:
+        placed = trees.where(those).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        sent = asking.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(those)
+        return placed.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInPandas(
+            _searched(k), "asked long, query_id long, row long, vec_id long, score long")
+
+    first = F.col("shard") == 0
+    found = searched(first, queries.withColumn("least", F.lit(None).cast("double")))
+    if shards > 1:
+        found = materialise(found, "first")
+        kth = (found.groupBy(F.col("asked").alias("row")).agg(F.count("*").alias("n"), F.min("score").cast("double").alias("least"))
+               .where(F.col("n") == k).select("row", "least"))
+        found = found.unionByName(searched(~first, queries.join(kth, "row", "left")))
+    order = Window.partitionBy("asked").orderBy(F.desc("score"), "vec_id", "row")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
