@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,6 +53,35 @@ def month_start(ts: Column) -> Column:
     return F.trunc(ts, "MM")
 
 
+def months_earlier(ts: Column, until: Column) -> Column:
+    """Calendar months from the month of ``ts`` to that of ``until``."""
+    return (F.year(until) - F.year(ts)) * 12 + F.month(until) - F.month(ts)
+
+
+def month_bits(months_back: Column, words: int) -> tuple[dict[str, Column], Column]:
+    """Columns to add to the rows, and the aggregate over them that counts the distinct values from 0 to 64 * words - 1 of a
+    column of small integers, NULLs left out.
+
+    Each value is a bit of one of ``words`` longs, so the state has a fixed size and merges by OR. A
+    value beyond them is an error, never left out.
+    """
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(months_back, F.lit(64)).cast("int"))
+    beyond = F.raise_error(F.lit(f"an event lies more than {64 * words} months back; raise month_words")).cast("int")
+    word = F.when(months_back >= 64 * words, beyond).otherwise(F.shiftright(months_back, 6))
+    bits = [F.coalesce(F.bit_count(F.bit_or(F.when(F.col("_word") == i, F.col("_bit")))), F.lit(0)) for i in range(words)]
+    return {"_word": word, "_bit": bit}, reduce(Column.__add__, bits).cast("bigint")
+
+
+def latest_key(ts: Column, number: Column) -> Column:
+    """One DECIMAL(38,0) that sorts as (ts, number), a NULL number first; NULL without a timestamp.
+
+    Unlike a struct it fits the fixed-width state of a hash aggregate.
+    """
+    width, shift = F.lit(str(2**65)).cast("decimal(20,0)"), F.lit(str(2**63 + 1)).cast("decimal(20,0)")
+    place = F.coalesce(number.cast("decimal(20,0)") + shift, F.lit(0).cast("decimal(20,0)"))
+    return (F.unix_micros(ts).cast("decimal(20,0)") * width + place).cast("decimal(38,0)")
+
+
 def month_sequence(first: Column, last: Column) -> Column:
     """Month starts from ``first`` to ``last``; NULL when the range is empty."""
     return F.when(first <= last, F.sequence(first, last, F.expr("INTERVAL 1 MONTH")))

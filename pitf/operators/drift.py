@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitf.operators.prefix import join_groups
-from pitf.operators.quantiles import exact_quantiles
+from pitf.operators.quantiles import column_quantiles, count_reached, exact_quantiles, stacked
 
 # Bins, least bin share, alarm threshold and severity bands.
 BINS = 10
@@ -62,7 +62,11 @@ def _psi(baseline: DataFrame, current: DataFrame, value: str, edges: DataFrame,
     counted = both.groupBy(*groups, bin_index(F.col("value"), F.col("inner"), bins).alias("bin")).agg(
         F.count_if(~F.col("is_current")).alias("expected"), F.count_if("is_current").alias("actual"),
         F.max(F.size("edges")).alias("edge_count"))
-    # At most `bins` rows per group from here on.
+    return _from_counts(counted, groups)
+
+
+def _from_counts(counted: DataFrame, groups: list[str]) -> DataFrame:
+    """The index from (groups, bin, expected, actual, edge_count), at most one row per group and bin."""
     shares = counted.groupBy(*groups).agg(
         F.sum("expected").alias("e_total"), F.sum("actual").alias("a_total"),
         F.max("edge_count").alias("edge_count"),
@@ -92,10 +96,19 @@ def drift_decision(psi_row: DataFrame, threshold: float = THRESHOLD) -> DataFram
 
 
 def feature_psi(baseline: DataFrame, current: DataFrame, features: Sequence[str], bins: int = BINS) -> DataFrame:
-    """(feature, psi, severity) of every feature in one pass over both snapshots."""
-    def long(df: DataFrame) -> DataFrame:
-        return df.unpivot([], list(features), "feature", "value")
-
-    before, after = long(baseline), long(current)
-    edges = bin_edges(before, "value", bins, ["feature"])
-    return _psi(before, after, "value", edges, bins, ["feature"])
+    """(feature, psi, severity) of every feature; all features share each pass over the two snapshots.
+
+    Edges are exact quantiles of the baseline, at most ``bins + 1`` per feature, and become literals. Each row turns into an
+    array of bin numbers, counted by task, so only one row per feature and bin is shuffled.
+    """
+    quantiles = column_quantiles(baseline, features, [i / bins for i in range(bins + 1)])
+    edges = {r[0]: r[1] for r in quantiles.groupBy("feature").agg(F.sort_array(F.collect_set("quantile"))).collect()}
+    names = [f for f in features if f in edges]
+    if not names:
+        return baseline.sparkSession.createDataFrame([], "feature string, psi double, severity string")
+    place = count_reached([edges[f][1:-1] for f in names], lambda v, e: v >= e)
+    both = reduce(DataFrame.unionByName, [stacked(df, names).select("_i", place.alias("bin"), F.lit(side).alias("is_current"))
+                                          for side, df in ((False, baseline), (True, current))])
+    counted = both.groupBy("_i", "bin").agg(F.count_if(~F.col("is_current")).alias("expected"), F.count_if("is_current").alias("actual"))
+    return _from_counts(counted.select(F.get(F.lit(names), F.col("_i")).alias("feature"), "bin", "expected", "actual",
+                                       F.get(F.lit([len(edges[f]) for f in names]), F.col("_i")).alias("edge_count")), ["feature"])

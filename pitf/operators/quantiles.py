@@ -1,7 +1,7 @@
 """Exact quantiles, for few distinct values and for any number of them."""
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -44,10 +44,18 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
     rows = df.select(*groups, F.col(value).cast("double").alias("_v")).where("_v IS NOT NULL")
     slack = 4.0 / ACCURACY
     hits = _ranked_hits(rows, probs, groups, slack)
+    found = []
     while slack < 1.0 and not hits.where("_gap").isEmpty():
         slack *= 16
+        if groups:  # only the groups on this work list are read again
+            missed = materialise(hits.where("_gap").select(F.struct(*groups).alias("_missed")).distinct(), "missed")
+            found.append(hits.join(missed, F.struct(*groups) == F.col("_missed"), "left_anti"))
+            rows = rows.join(missed, F.struct(*groups) == F.col("_missed"), "left_semi")
         hits = _ranked_hits(rows, probs, groups, slack)
+    return _interpolated(reduce(DataFrame.unionByName, found, hits), groups)
 
+
+def _interpolated(hits: DataFrame, groups: list[str]) -> DataFrame:
     ends = hits.groupBy(*groups, F.col("h.prob").alias("prob")).agg(
         F.max(F.when(F.col("h.is_low"), F.col("_at"))).alias("low"),
         F.max(F.when(F.col("h.is_high"), F.col("_at"))).alias("high"),
@@ -56,6 +64,65 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], groups: S
         *groups, "prob", (F.col("low") + (F.col("high") - F.col("low")) * F.col("weight")).alias("quantile"))
 
 
+def column_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """(feature, prob, quantile) of many columns at once, exact as ``exact_quantiles``; all-NULL columns give no rows.
+
+    One sketch per column in a single aggregation brackets the quantiles; the few bounds come to the driver and
+    become literals. One more pass turns each row into an array with every column's place among its brackets, counted
+    by task, with the value itself only inside a bracket. Columns with a rank outside its bracket alone go round again.
+    """
+    columns, probs, slack = list(columns), [float(p) for p in probs], 4.0 / ACCURACY
+    if not columns:
+        return df.sparkSession.createDataFrame([], "feature string, prob double, quantile double")
+    found = []
+    while columns:
+        asked = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-slack, slack)})
+        sketch = df.agg(*(F.percentile_approx(F.col(c).cast("double"), asked, ACCURACY).alias(f"c{i}")
+                          for i, c in enumerate(columns))).first()
+        spans = []
+        for cuts in sketch:
+            cut = dict(zip(asked, cuts or [], strict=False))
+            spans.append(_disjoint([(cut[max(0.0, p - slack)] if p - slack > 0 else float("-inf"),
+                                     cut[min(1.0, p + slack)] if p + slack < 1 else float("inf")) for p in probs]) if cut else [])
+        lows, highs = ([[x[side] for x in of] for of in spans] for side in (0, 1))
+        # A last bracket without an end takes in everything above, NaN too.
+        place = count_reached(lows, lambda v, e: v >= e) + count_reached(
+            [[x for x in of if x < float("inf")] for of in highs], lambda v, e: v > e)
+        counts = (stacked(df, columns).withColumn("_place", place)
+                  .withColumn("_at", F.when(F.col("_place") % 2 == 1, F.col("_v"))).groupBy("_i", "_place", "_at")
+                  .agg(F.count(F.lit(1)).alias("_rows"))
+                  .select(F.get(F.lit(columns), F.col("_i")).alias("feature"), "_place", "_at", F.col("_at").isNull().alias("_gap"), "_rows"))
+        hits = _hits(running_totals(counts, [("_place", True), ("_at", True)], {"_n": F.col("_rows")}, ["feature"]), probs, ["feature"])
+        columns = sorted(r[0] for r in hits.where("_gap").select("feature").distinct().collect()) if slack < 1.0 else []
+        found.append(hits.where(~F.col("feature").isin(columns)) if columns else hits)
+        slack *= 16
+    return _interpolated(reduce(DataFrame.unionByName, found), ["feature"])
+
+
+def stacked(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(_i, _v): number and value as double of every column of every row, NULLs left out."""
+    cells = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(columns)])
+    return df.select(F.explode(cells).alias("c")).select("c.*").where("_v IS NOT NULL")
+
+
+def count_reached(limits: list[list[float]], reached: Callable[[Column, Column], Column]) -> Column:
+    """How many of its column's limits a stacked value reaches; the limits are literals."""
+    own = F.get(F.lit(limits), F.col("_i")) if any(limits) else None
+    return reduce(Column.__add__, [F.coalesce(reached(F.col("_v"), F.get(own, F.lit(j))).cast("int"), F.lit(0))
+                                   for j in range(max(map(len, limits), default=0))], F.lit(0))
+
+
+def _disjoint(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Closed intervals in order, those that meet made one."""
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return out
+
+
 def _ranked_hits(rows: DataFrame, probs: list[float], groups: list[str], slack: float) -> DataFrame:
     """(groups, _at, _gap, h): the values, or gaps, that hold the ranks asked for.
 
@@ -69,8 +136,10 @@ def _ranked_hits(rows: DataFrame, probs: list[float], groups: list[str], slack:
     counts = bracketed.select(
         *groups, F.when(inside, v).otherwise(F.greatest(*below)).alias("_at"), (~inside).alias("_gap"),
     ).groupBy(*groups, "_at", "_gap").agg(F.count(F.lit(1)).alias("_rows"))
-    ranked = running_totals(counts, [("_at", True), ("_gap", True)], {"_n": F.col("_rows")}, groups)
+    return _hits(running_totals(counts, [("_at", True), ("_gap", True)], {"_n": F.col("_rows")}, groups), probs, groups)
+
 
+def _hits(ranked: DataFrame, probs: list[float], groups: list[str]) -> DataFrame:
     first, last = F.col("_n_cum") - F.col("_n"), F.col("_n_cum") - 1
     position = [(F.col("_n_total") - 1) * F.lit(p) for p in probs]
     hits = F.filter(

@@ -27,6 +27,11 @@ def test_transactions_are_aggregated_in_one_shuffle(spark):
     assert "LessThan(o_orderdate" in text.split("PushedFilters")[1]
 
 
+def test_transaction_state_has_a_fixed_width(spark):
+    text = plan(ft.transaction_profile(st.transactions(spark, SF), CUTOFF, WINDOW))
+    assert "HashAggregate" in text and "ObjectHashAggregate" not in text and "SortAggregate" not in text
+
+
 def test_labels_read_two_columns(spark):
     text = plan(lb.build_labels(st.transactions(spark, SF), CUTOFF, WINDOW))
     assert "ReadSchema: struct<o_custkey:bigint,o_orderdate:timestamp>" in text

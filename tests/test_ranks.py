@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitf.operators import metrics as mt
+from pitf.operators import quantiles
 from pitf.operators import split as sp
 from pitf.operators.prefix import running_totals
 from pitf.operators.quantiles import discrete_quantile, exact_quantiles
@@ -151,3 +152,51 @@ def test_fingerprint_follows_rows_settings_and_content(spark):
     assert len({fp(df), fp(df, a="2"), fp(swapped), fp(df.where("churn = 1"))}) == 4
     empty = sp.input_fingerprint(df.where("false"), {"a": "1"}).first()
     assert (empty["rows"], empty["churn_mean"]) == (0, 0.0)
+
+
+def test_columns_share_passes_and_equal_one_column_at_a_time(spark):
+    rng = np.random.default_rng(8)
+    values = {"skewed": rng.random(3000) ** 9, "few": rng.integers(0, 3, 3000).astype(float), "same": np.full(3000, 2.5),
+              "sparse": np.where(rng.random(3000) < 0.99, np.nan, rng.random(3000))}
+    rows = [tuple(None if np.isnan(v) else float(v) for v in row) for row in zip(*values.values())]
+    df = spark.createDataFrame([(*r, None) for r in rows], ", ".join(f"{c} DOUBLE" for c in values) + ", empty DOUBLE")
+    probs = [0.0, 0.1, 0.5, 0.77, 1.0]
+    got = {(r["feature"], r["prob"]): r["quantile"] for r in quantiles.column_quantiles(df, [*values, "empty"], probs).collect()}
+    want = {(c, p): np.quantile(v[~np.isnan(v)], p) for c, v in values.items() for p in probs}
+    assert got == {k: pytest.approx(v) for k, v in want.items()}
+    assert quantiles.column_quantiles(df.limit(0), list(values), probs).collect() == []
+
+
+def test_only_missed_groups_go_round_again(spark, monkeypatch):
+    """With brackets far too coarse, ranks fall outside; the answer stays exact, group by group."""
+    monkeypatch.setattr(quantiles, "ACCURACY", 50)
+    rng = np.random.default_rng(4)
+    groups = {"large": rng.random(4000), "tiny": rng.random(3), None: rng.random(700)}
+    df = spark.createDataFrame([(g, float(v)) for g, x in groups.items() for v in x], "g STRING, v DOUBLE")
+    seen = []
+    whole = quantiles._ranked_hits
+
+    def watched(rows, probs, by, slack):
+        seen.append({r["g"]: r["count"] for r in rows.groupBy("g").count().collect()})
+        return whole(rows, probs, by, slack)
+
+    monkeypatch.setattr(quantiles, "_ranked_hits", watched)
+    monkeypatch.setattr(quantiles, "_with_brackets", narrowed(quantiles._with_brackets))
+    got = {(r["g"], r["prob"]): r["quantile"] for r in quantiles.exact_quantiles(df, "v", [0.25, 0.5], ["g"]).collect()}
+    assert got == {(g, p): pytest.approx(np.quantile(x, p)) for g, x in groups.items() for p in (0.25, 0.5)}
+    assert set(seen[0]) == set(groups) and set(seen[1]) == {"tiny"}
+
+
+def narrowed(with_brackets):
+    """Brackets of the group ``tiny`` that hold nothing, in the first round."""
+    rounds = []
+
+    def run(rows, probs, groups, slack):
+        bracketed, low, high = with_brackets(rows, probs, groups, slack)
+        rounds.append(slack)
+        if len(rounds) > 1:
+            return bracketed, low, high
+        tiny = F.col("g") == "tiny"
+        return (bracketed, [F.when(tiny.eqNullSafe(True), F.lit(-2.0)).otherwise(c) for c in low],
+                [F.when(tiny.eqNullSafe(True), F.lit(-1.0)).otherwise(c) for c in high])
+    return run
