@@ -24,13 +24,17 @@ BLOCKS = frozenset(
     "select summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article aside blockquote body details dialog div dl fieldset figure footer form header html main menu nav "
                        "ol search section table td tr ul".split())
-UNREAD = frozenset("script style template noscript textarea title svg math iframe object canvas audio video select button".split())
+UNREAD = frozenset("script style template noscript textarea title svg iframe object canvas audio video select button".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog search".split())
 UNWANTED = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notice|alert|popup|modal|overlay|side-?bar|"
     r"menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|comments?|replies|reply|discussion|disqus|share|sharing|"
     r"social|subscribe|subscription|newsletter|signup|login|related|recommended|widget|toolbar|pagination|pager|copyright|legal|"
     r"disclaimer|skip)(?:$|[\s_-])", re.I)
+#: Elements that hold the main text whatever they are called, and what names say of the page, not of the element.
+NEVER_NAMED = frozenset("html body main article".split())
+HAVING = frozenset("has no with without".split())
+TOPICS = frozenset("legal social share sharing related login copyright disclaimer skip alert".split())
 STOP_WORDS = frozenset(
     # English
     "a an and are as at be but by for from had has have he her his i in is it its not of on or our she that the their them there "
@@ -50,7 +54,7 @@ DENSE_STOP_WORDS = 0.25
 MANY_LINKS = 0.5
 FEW_LINKS = 0.2
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*)>|<[!?][^>]*>""", re.S)
+_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'"<>])*)>|<[!?][^>]*(?:>|\Z)""", re.S)
 _CLOSE = {name: re.compile(rf"</{name}\s*>", re.I) for name in UNREAD}
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
@@ -63,6 +67,19 @@ class Block:
     article: int  # number of the article or main element it stands in, 0 outside
 
 
+def _condemned(labels: str) -> bool:
+    """Whether a name speaks of something that is no main text. Names of what a page has or lacks (``has-sidebar``) don't, nor
+    words that also name a topic (``legal-news``) beside one that is none of them."""
+    for name in labels.split():
+        parts = [x for x in re.split(r"[_-]+", name) if x]
+        if parts and parts[0].lower() in HAVING:
+            continue
+        found = [x for x in parts if UNWANTED.fullmatch(x)]
+        if (found or UNWANTED.search(name)) and not (found and len(found) < len(parts) and all(x.lower() in TOPICS for x in found)):
+            return True
+    return False
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks with text in page order; tags that are never closed end with the element around them."""
     out: list[Block] = []
@@ -117,8 +134,8 @@ def blocks(page: str) -> list[Block]:
                 continue
             _, unwanted, article = stack[-1] if stack else ("", False, 0)
             labels = " ".join(a or b or c for a, b, c in _NAMED.findall(tag[3]))
-            named = bool(UNWANTED.search(labels))
-            if name in ("article", "main") and not named and not article:
+            named = _condemned(labels) and name not in NEVER_NAMED
+            if name in ("article", "main") and not article:
                 articles += 1
                 unwanted, article = False, articles
             page_header = name == "header" and not article

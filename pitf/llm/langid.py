@@ -22,9 +22,8 @@ from pyspark.sql import functions as F
 from pitf.llm.textcore import slices, text_bytes
 from pitf.session import materialise
 
-#: Documents with a known language that each language's trigrams are learnt from, at most, and languages told apart.
+#: Documents with a known language that each language's trigrams are learnt from, at most.
 SAMPLE = 1500
-LANGUAGES = 64
 #: Trigrams overlap and follow from each other: each counts as this share of an independent one.
 TEMPER = 0.2
 #: Documents' worth of belief in the level above: suffix towards all, host towards its suffix, declarations.
@@ -76,27 +75,29 @@ def _background(counts: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id") -> LanguageModel:
-    """Trigram tables from at most ``SAMPLE`` documents of each of the ``LANGUAGES`` most frequent known languages."""
+    """Trigram tables from at most ``SAMPLE`` documents of each known language, however many there are: a table of a language takes
+    1 MB on the driver and in each worker."""
     known = docs.where(F.col(lang_col).isNotNull() & (F.length(text_col) > 0))
-    names = sorted(r[0] for r in known.groupBy(lang_col).agg(F.count("*").alias("n"))
-                   .orderBy(F.desc("n"), lang_col).limit(LANGUAGES).select(lang_col).collect())
-    table = np.zeros((1 << 3 * _BITS, max(1, len(names))), np.float64)
-    place = {name: i for i, name in enumerate(names)}
+    counts: dict[str, np.ndarray] = {}
     # The first ids of a language are cut out in each task before they meet; texts are read once, for all languages.
     first = Window.partitionBy(lang_col).orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
-    chosen = (known.where(F.col(lang_col).isin(names)).groupBy(lang_col, id_col).agg(F.lit(1).alias("_one"))
+    chosen = (known.groupBy(lang_col, id_col).agg(F.lit(1).alias("_one"))
               .withColumn("_nth", F.row_number().over(first)).where(F.col("_nth") <= SAMPLE).select(lang_col, id_col))
     rows = known.select(id_col, lang_col, text_col).join(F.broadcast(chosen), [lang_col, id_col]).select(lang_col, text_col)
     for name, text in rows.toLocalIterator():
-        table[:, place[name]] += np.bincount(_trigrams(*text_bytes(pa.array([text], pa.large_string()))), minlength=len(table))
+        seen = counts.setdefault(name, np.zeros(1 << 3 * _BITS, np.int32))
+        seen += np.bincount(_trigrams(*text_bytes(pa.array([text], pa.large_string()))), minlength=len(seen)).astype(np.int32)
+    for seen in counts.values():
+        seen[0] = 0
+    names = sorted(name for name, seen in counts.items() if seen.any())  # nothing is learnt from digits alone
+    table = np.zeros((1 << 3 * _BITS, len(names)), np.float32)
+    if names:
+        chance = _background(sum(counts[name].astype(np.float64) for name in names))
+    for i, name in enumerate(names):
+        kinds = (counts[name] > 0).sum()
+        table[:, i] = np.log((counts[name] / chance + kinds) / (counts[name].sum() + kinds))
     table[0] = 0
-    known = [i for i in range(len(names)) if table[:, i].any()]  # nothing is learnt from digits alone
-    names, table = [names[i] for i in known], table[:, known]
-    chance = _background(table.sum(axis=1))[:, None]
-    kinds = (table > 0).sum(axis=0)
-    table = np.log((table / chance + kinds) / (table.sum(axis=0) + kinds))
-    table[0] = 0
-    return LanguageModel(names, table.astype(np.float32))
+    return LanguageModel(names, table)
 
 
 def _likelihoods(model: LanguageModel):
