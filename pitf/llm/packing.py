@@ -10,6 +10,7 @@ is full) and the last rest is cut at powers of two, where a sequence needs no pa
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -23,34 +24,55 @@ from pitf.llm.textcore import slices
 
 #: Bytes of text tokenised at once; one longer document is handled alone.
 SLICE = 1 << 20
+#: Code points asked about as letters, and punctuation that ends a word.
+LETTERS = range(0x61, 0x250)
+ENDS = ".,;:!?%#*$|)"
+ENDS_BYTES = frozenset(ENDS.encode())
 #: Sequences that one partition may number.
 NUMBERS = 1 << 40
 
 
 class WordTokenizer(Remembered[bytes]):
     """Ids of a text by a tokenizer that never joins what white space separates and ignores the case of A-Z: each word is
-    looked up once, and a new one that is a known word and commas or full stops is put together from both."""
+    looked up once, and a new one that is a word and punctuation after its last letter is put together from both."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Where letters pass all steps before the merges as they are, in one piece, a word of letters needs the merges only.
-        steps, letters = self.tokenizer, "abcdefghijklmnopqrstuvwxyz"
-        normal = steps.normalizer.normalize_str(letters) if steps.normalizer else letters
-        pieces = [x for x, _ in steps.pre_tokenizer.pre_tokenize_str(normal)] if steps.pre_tokenizer else [normal]
-        self.merges = steps.model if pieces == [letters] else None
+        # Letters that pass all steps before the merges unchanged and in one piece, and as what they reach the merges: a word
+        # of such letters needs the merges only, and other characters end it.
+        self.reaching: dict[int, str] = {}
+        for letter in filter(str.isalpha, map(chr, LETTERS)):
+            pieces = self._pieces(letter)
+            if pieces is not None and len(pieces) == 1:
+                self.reaching[ord(letter)] = pieces[0]
+        letters = "".join(map(chr, self.reaching))
+        if self._pieces(letters) != [letters.translate(self.reaching)]:
+            self.reaching, letters = {}, ""
+        self.word = re.compile(f"[{letters}]+" if letters else r"\Z.").fullmatch
+        ends = "".join(x for x in ENDS if letters and (self._pieces(letters[0] + x) or [""])[0] == self.reaching[ord(letters[0])])
+        self.ended = re.compile(f"(.*[{letters}])([{re.escape(ends)}]+)" if ends else r"\Z.", re.S).fullmatch
         super().__init__(self._tokenised)
 
+    def _pieces(self, text: str) -> list[str] | None:
+        """What of a text reaches the merges; None if it is changed before."""
+        steps = self.tokenizer
+        if steps.normalizer and steps.normalizer.normalize_str(text) != text:
+            return None
+        return [x for x, _ in steps.pre_tokenizer.pre_tokenize_str(text)] if steps.pre_tokenizer else [text]
+
     def _tokenised(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        plain = [self.merges is not None and w.isalpha() and w.islower() for w in words]  # of bytes: a-z only
-        rest = iter(self.tokenizer.encode_batch_fast([w.decode() for w, x in zip(words, plain, strict=True) if not x], add_special_tokens=False))
-        return flattened([[t.id for t in self.merges.tokenize(w.decode())] if x else next(rest).ids
-                          for w, x in zip(words, plain, strict=True)])
+        texts = [w.decode() for w in words]
+        plain = [self.word(x) is not None for x in texts]
+        rest = iter(self.tokenizer.encode_batch_fast([x for x, is_plain in zip(texts, plain, strict=True) if not is_plain], add_special_tokens=False))
+        merged = self.tokenizer.model.tokenize
+        return flattened([[t.id for t in merged(x.translate(self.reaching))] if is_plain else next(rest).ids
+                          for x, is_plain in zip(texts, plain, strict=True)])
 
     def learn(self, words: Iterable[bytes]) -> None:
-        ended = {w: (stem, w[len(stem):]) for w in words if (stem := w.rstrip(b".,")) != w and stem[-1:].isalpha()}
+        ended = {w: tuple(x.encode() for x in m.groups()) for w in words if (w[-1] in ENDS_BYTES) and (m := self.ended(w.decode()))}
         super().learn(chain(chain.from_iterable(ended.values()), (w for w in words if w not in ended)))
         self.store(list(ended), *self.joined(list(ended.values())))
 
