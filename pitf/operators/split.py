@@ -1,12 +1,15 @@
 """Train/test split, class weights and the fingerprint of training inputs."""
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitf.operators.prefix import running_totals
+# Hexadecimal digits of the split hash, and those that one round of the exact hold-out tells apart.
+HASH_DIGITS, DIGITS = 32, 3
 
 
 def split_hash(customer_id: Column, seed: int) -> Column:
@@ -22,14 +25,52 @@ def is_test(customer_id: Column, test_size: float = 0.2, seed: int = 42) -> Colu
     return F.substring(split_hash(customer_id, seed), 1, 8) < F.lit(bound)
 
 
-def stratified_test_flags(df: DataFrame, test_size: float = 0.2, seed: int = 42) -> DataFrame:
-    """Adds ``is_test`` with an exact share per class: within each class the
-    customers with the smallest hashes, up to round(test_size * class size)."""
-    ranked = running_totals(
-        df.withColumn("_hash", split_hash(F.col("customer_id"), seed)),
-        [("_hash", True), ("customer_id", True)], {"_n": F.lit(1)}, ["churn"])
-    return (ranked.withColumn("is_test", F.col("_n_cum") <= F.round(F.col("_n_total") * F.lit(test_size)))
-            .drop("_hash", "_n", "_n_cum", "_n_total"))
+def stratified_bounds(df: DataFrame, test_size: float = 0.2, seed: int = 42, label: str = "churn") -> dict:
+    """By class, the largest hash of its hold-out: round(test_size * rows) rows of the class lie at or below it.
+
+    Radix selection: a histogram of the next hash digits per class tells in which digits the last row lies, and only
+    the rows there are counted again by the digits that follow. Each round shuffles and collects at most
+    ``16 ** DIGITS`` counts per class; no row is sorted. For labels of a few classes, NULL one of them.
+    """
+    if not 0.0 < test_size < 1.0:
+        raise ValueError(f"test_size must lie between 0 and 1, got {test_size}")
+    hashed = df.select(F.col(label).alias("_class"), split_hash(F.col("customer_id"), seed).alias("_hash"))
+    bounds: dict = {}
+    open_: dict | None = None  # class: hash digits known so far, rows still to take among those that begin with them
+    depth = 0
+    while open_ is None or open_:
+        rows = hashed if open_ is None else hashed.where(reduce(Column.__or__, [
+            F.col("_class").eqNullSafe(F.lit(c)) & F.col("_hash").startswith(known) for c, (known, _) in open_.items()]))
+        digits = F.substring("_hash", depth * DIGITS + 1, DIGITS)
+        histogram: dict = {}
+        for c, part, n in rows.groupBy("_class", digits.alias("_part")).count().collect():
+            histogram.setdefault(c, []).append((part, n))
+        if open_ is None:
+            sizes = {c: sum(n for _, n in parts) for c, parts in histogram.items()}
+            open_ = {c: ("", math.floor(n * test_size + 0.5)) for c, n in sizes.items()}
+            bounds = dict.fromkeys(sizes, "")
+        further = {}
+        for c, (known, left) in open_.items():
+            for part, n in sorted(histogram[c]):
+                if not left:
+                    break
+                bounds[c] = known + part
+                if n > left and len(known + part) < HASH_DIGITS:
+                    further[c] = (known + part, left)
+                    break
+                left -= min(n, left)
+        open_, depth = further, depth + 1
+    return {c: known.ljust(HASH_DIGITS, "f") if known else "" for c, known in bounds.items()}
+
+
+def stratified_test_flags(df: DataFrame, test_size: float = 0.2, seed: int = 42, label: str = "churn") -> DataFrame:
+    """Adds ``is_test`` with an exact share per class: within each class the customers with the smallest hashes, up to
+    round(test_size * class size). The bounds are literals, so nothing is shuffled for the flag; rows of one customer
+    share a hash and stay on one side."""
+    own = split_hash(F.col("customer_id"), seed)
+    flags = [F.when(F.col(label).eqNullSafe(F.lit(c)), own <= F.lit(bound))
+             for c, bound in stratified_bounds(df, test_size, seed, label).items()]
+    return df.withColumn("is_test", F.coalesce(*flags, F.lit(False)))
 
 
 def class_weights(df: DataFrame, label: str = "churn") -> DataFrame:
