@@ -71,6 +71,11 @@ def duplicate_customers(spark: SparkSession, sf: str) -> DataFrame:
         "key", F.concat_ws("@", F.col("customer_id"), F.date_format("transaction_date", "yyyy-MM-dd"))), "key")
 
 
+def customer_key_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Customer ids that occur more than once, as the snapshot would refuse them."""
+    return ft.duplicate_keys(st.raw_tables(spark, sf)["customers"])
+
+
 def active_customers(spark: SparkSession, sf: str) -> DataFrame:
     tx = st.transactions(spark, sf).where(F.col("transaction_date") < cutoff_col(CUTOFF))
     return tx.select("customer_id").distinct()
@@ -163,6 +168,8 @@ QUERIES = {
     "duplicate_customers": (duplicate_customers, with_ctes(
         """SELECT customer_id || '@' || strftime(transaction_date, '%Y-%m-%d') AS key, count(*) AS count
            FROM transactions GROUP BY 1 HAVING count(*) > 1""")),
+    "customer_key_check": (customer_key_check, with_ctes(
+        "SELECT customer_id, count(*) AS count FROM customers GROUP BY 1 HAVING count(*) > 1")),
     "active_customers": (active_customers, with_ctes(
         f"SELECT DISTINCT customer_id FROM transactions WHERE transaction_date < {DEFAULT_CUT}")),
     "activity_counts": (activity_counts, with_ctes("SELECT * FROM population", **LABELS)),

@@ -13,6 +13,7 @@ from pitf.operators import registry as reg
 from pitf.operators import split as sp
 from pitf.operators.quantiles import exact_quantiles
 from pitf.plans import jobs
+from pitf.session import materialise
 from pitf.sources import sample_tables as st
 
 # Stand-in candidates: each scores by one habit, all exact in any engine.
@@ -48,7 +49,8 @@ def holdout_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stratified_split(spark: SparkSession, sf: str) -> DataFrame:
-    return sp.stratified_test_flags(scored_customers(spark, sf)).select("customer_id", "is_test")
+    scored = materialise(scored_customers(spark, sf).select("customer_id", "churn"), "labelled")
+    return sp.stratified_test_flags(scored).select("customer_id", "is_test")
 
 
 def class_weights(spark: SparkSession, sf: str) -> DataFrame:
@@ -92,6 +94,14 @@ def nation_ranking_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(as_bigint(mt.ranking_metrics(scored, ["c_nationkey"])))
 
 
+def grouped_metrics_null_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Metrics per nation where every fifth nation is unknown: customers without a nation are a group."""
+    key = F.col("c_nationkey")
+    nation = st.load(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id"), F.when(key % 5 != 0, key).alias("nation"))
+    scored = scored_customers(spark, sf).join(nation, "customer_id")
+    return rounded(as_bigint(mt.ranking_metrics(scored, ["nation"])))
+
+
 def one_class_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(mt.ranking_metrics(scored_customers(spark, sf).where("churn = 1")))
 
@@ -111,6 +121,13 @@ def amount_quantiles(spark: SparkSession, sf: str) -> DataFrame:
                    money={"quantile": 4})
 
 
+def grouped_quantiles_null_group(spark: SparkSession, sf: str) -> DataFrame:
+    """Quantiles per year where some years are unknown: their rows are one group."""
+    year = F.year("transaction_date").cast("bigint")
+    tx = st.transactions(spark, sf).withColumn("year", F.when(year % 3 != 0, year))
+    return rounded(exact_quantiles(tx, "transaction_amount", [0.1, 0.5, 1.0], ["year"]), money={"quantile": 4})
+
+
 def ranking_sql(scored: str, group: str = "") -> str:
     """Metrics by average ranks and row-wise cumulative counts over ``scored``."""
     key, by, on = (f"{group}, ", f"PARTITION BY {group}", f"GROUP BY {group}") if group else ("", "", "")
@@ -183,6 +200,15 @@ QUERIES = {
     "nation_ranking_metrics": (nation_ranking_metrics, with_ctes(
         ranking_sql("nation_scored", "c_nationkey"), **BASE, nation_scored="""SELECT CAST(c_nationkey AS BIGINT)
         AS c_nationkey, scored.* FROM scored JOIN customer ON c_custkey = customer_id""")),
+    "grouped_metrics_null_group": (grouped_metrics_null_group, with_ctes(
+        f"SELECT * REPLACE (nullif(nation, -1) AS nation) FROM ({ranking_sql('nation_scored', 'nation')})", **BASE,
+        nation_scored="""SELECT CAST(CASE WHEN c_nationkey % 5 <> 0 THEN c_nationkey ELSE -1 END AS BIGINT) AS nation, scored.*
+        FROM scored JOIN customer ON c_custkey = customer_id""")),
+    "grouped_quantiles_null_group": (grouped_quantiles_null_group, with_ctes(
+        " UNION ALL ".join(
+            f"""SELECT CASE WHEN year(transaction_date) % 3 <> 0 THEN year(transaction_date) END AS year, CAST({p} AS DOUBLE) AS prob,
+                round(quantile_cont(transaction_amount, {p}), 4) AS quantile FROM transactions GROUP BY 1"""
+            for p in (0.1, 0.5, 1.0)))),
     "one_class_metrics": (one_class_metrics, with_ctes(
         ranking_sql("churned"), **BASE, churned="SELECT * FROM scored WHERE churn = 1")),
     "candidate_metrics": (candidate_metrics, with_ctes(

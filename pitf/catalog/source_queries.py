@@ -95,6 +95,14 @@ def promoted_transactions(spark: SparkSession, sf: str) -> DataFrame:
     return _readable(_promoted(spark, sf, ["transactions"])["transactions"])
 
 
+def promoted_enrollments(spark: SparkSession, sf: str) -> DataFrame:
+    return _readable(_promoted(spark, sf, ["enrollments"])["enrollments"])
+
+
+def promoted_interactions(spark: SparkSession, sf: str) -> DataFrame:
+    return _readable(_promoted(spark, sf, ["crm"])["crm"])
+
+
 def promoted_reordered(spark: SparkSession, sf: str) -> DataFrame:
     """Transactions from a file with its columns in another order and one more: names decide."""
     folder = scratch_path(spark, "reordered")
@@ -157,6 +165,9 @@ TRANSACTIONS = """SELECT 1::BIGINT AS product_id, customer_id,
     round(closing_balance, 2) AS closing_balance,
     strftime(CASE WHEN transaction_id % 97 <> 0 THEN transaction_date END, '%Y-%m-%d %H:%M:%S') AS transaction_date,
     transaction_id FROM transactions"""
+ENROLLMENTS = """SELECT product_id, customer_id, product_type,
+    strftime(CASE WHEN product_id % 41 <> 0 THEN date_trunc('day', enrollment_date) END, '{fmt}') AS enrollment_date,
+    CASE WHEN product_id % 43 <> 0 THEN round(credit_limit, 2) END AS credit_limit FROM enrollments"""
 TS = "%Y-%m-%d %H:%M:%S"
 
 QUERIES = {
@@ -173,6 +184,10 @@ QUERIES = {
            FROM crm WHERE interaction_id % 53 <> 0""")),
     "promoted_customers": (promoted_customers, with_ctes(CUSTOMERS.format(mobile="'0900'", fmt="%Y-%m-%d"))),
     "promoted_transactions": (promoted_transactions, with_ctes(TRANSACTIONS)),
+    "promoted_enrollments": (promoted_enrollments, with_ctes(ENROLLMENTS.format(fmt="%Y-%m-%d"))),
+    "promoted_interactions": (promoted_interactions, with_ctes(
+        """SELECT interaction_id, customer_id, interaction_type,
+           strftime(CASE WHEN interaction_id % 53 <> 0 THEN interaction_date END, '%Y-%m-%d') AS interaction_date FROM crm""")),
     "promoted_reordered": (promoted_reordered, with_ctes(TRANSACTIONS)),
     "load_audit": (load_audit, with_ctes(" UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS row_count FROM {t}"

@@ -30,7 +30,8 @@ def stratified_bounds(df: DataFrame, test_size: float = 0.2, seed: int = 42, lab
 
     Radix selection: a histogram of the next hash digits per class tells in which digits the last row lies, and only
     the rows there are counted again by the digits that follow. Each round shuffles and collects at most
-    ``16 ** DIGITS`` counts per class; no row is sorted. For labels of a few classes, NULL one of them.
+    ``16 ** DIGITS`` counts per class; no row is sorted. For labels of a few classes, NULL one of them. ``df`` is read
+    once a round (two or three rounds up to billions of rows), so a costly one should be a stored table.
     """
     if not 0.0 < test_size < 1.0:
         raise ValueError(f"test_size must lie between 0 and 1, got {test_size}")
