@@ -1,14 +1,16 @@
 """Toxicity by compression distance with zstandard dictionaries.
 
-Texts are cut into windows of a few words. One dictionary is trained on windows of ordinary text. The other holds the
-words, stems and word pairs of toxic text that a likelihood ratio test finds more often there than in ordinary text,
-however small a part of the toxic rows has them. A window is compressed once with the ordinary dictionary and
-once with both; the bytes saved by the toxic one are its distance. A document's largest savings are
-turned into a probability by a logistic curve calibrated on labelled documents that no dictionary saw.
+Texts are cut into windows of a few words. One zstandard dictionary is trained on the windows of ordinary text, another on
+extracts of toxic text. A toxic document's extract is its words with wording (words, stems, pairs) that a likelihood ratio test
+finds more often in toxic than in ordinary text, however small a part of the toxic rows has it; a passage that toxic
+documents share counts once. A window is compressed once with the ordinary dictionary and once with both; the bytes saved by
+the toxic one are its distance. A document's savings are turned into a probability by a logistic curve calibrated on
+labelled documents that no dictionary saw, with the very dictionaries it is used with.
 """
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -24,12 +26,11 @@ from pitf.llm.textcore import slices
 
 #: Words in a window.
 WINDOW = 6
-#: Labelled rows the model is fitted on, at most: half for the dictionaries, half for the thresholds.
+#: Labelled rows the model is fitted on, at most; one text in so many calibrates the curve, the rest are for the dictionaries.
 SAMPLE = 10_000
-ORDINARY_BYTES = 48 << 10
-TOXIC_BYTES = 8 << 10
-#: Windows of ordinary text that its dictionary is trained on, spread evenly over all, are at most about twice as many.
-ORDINARY_WINDOWS = 60_000
+CALIBRATING = 8
+ORDINARY_BYTES = 110 << 10
+TOXIC_BYTES = 2 << 10
 #: Wording goes into the toxic dictionary if it is in so many toxic documents, its share there is so many times that of
 #: ordinary documents, and the likelihood ratio statistic of the two shares is at least LEAST_RATIO_TEST (chi-squared, 1 degree).
 LEAST_ROWS = 3
@@ -77,8 +78,8 @@ class ToxicModel:
     @staticmethod
     def features(saved: np.ndarray) -> list[float]:
         top = np.sort(saved)[::-1]
-        return [1.0, float(top[0]), float(top[:3].clip(0).sum()), float((saved >= 4).sum() / len(saved)) * 10,
-                float((saved >= 5).sum() > 1), float(np.log(len(saved)))]
+        return [1.0, float(top[0]), float(top[:3].clip(0).sum()), math.log(len(saved)),
+                *(math.log1p((saved >= n).sum()) for n in (3, 5, 7, 9)), *(float((saved >= n).mean()) * 10 for n in (4, 6))]
 
     def scores(self, texts: Iterator[str]) -> np.ndarray:
         if self.weights is None:
@@ -87,11 +88,26 @@ class ToxicModel:
         return sigmoid(x @ self.weights)
 
 
-def _wording(text: str) -> set[bytes]:
-    """Words, their stems and pairs of neighbours: after a space, and before one unless it is a stem."""
-    found = [w for w in (w.strip(_EDGES) for w in text.lower().encode().split()) if w]
-    out = {b" " + a + b" " + b + b" " for a, b in zip(found, found[1:], strict=False)}
-    for w in set(found):
+def _words(text: str) -> list[bytes]:
+    return [w for w in (w.strip(_EDGES) for w in text.lower().encode().split()) if w]
+
+
+def _wording(text: str, met: set[int] | None = None) -> set[bytes]:
+    """Words, their stems and pairs of neighbours: after a space, and before one unless it is a stem.
+
+    With ``met``, the hashes of three words in a row of the texts before, only those words whose three up to them and whose
+    three from them on are new: neither a shared passage nor what surrounds an edit in it counts again.
+    """
+    found = _words(text)
+    new = [True] * len(found)
+    if met is not None:
+        edged = [b"", b"", *found, b"", b""]
+        threes = [hash(x) for x in zip(edged, edged[1:], edged[2:], strict=False)]
+        fresh = [x not in met for x in threes]
+        new = [a and b for a, b in zip(fresh, fresh[2:], strict=False)][:len(found)]
+        met.update(threes)
+    out = {b" " + a + b" " + b + b" " for a, b, *fresh in zip(found, found[1:], new, new[1:], strict=False) if all(fresh)}
+    for w in {w for w, fresh in zip(found, new, strict=True) if fresh}:
         out.add(b" " + w + b" ")
         out.update(b" " + w[:n] for n in range(STEM[0], min(len(w), STEM[1] + 1)))
     return out
@@ -111,8 +127,9 @@ def _telling(toxic: Iterable[str], ordinary: Iterable[str], n_toxic: int, n_ordi
     """The wording that sets toxic texts apart, the most telling last; a stem or pair no more telling than the longer
     form or single word it goes with is left out."""
     bad, plain = Counter(), Counter()
+    met: set[int] = set()
     for text in toxic:
-        bad.update(_wording(text))
+        bad.update(_wording(text, met))
     bad = {w: n for w, n in bad.items() if n >= LEAST_ROWS}
     for text in ordinary:
         plain.update(_wording(text) & bad.keys())
@@ -126,31 +143,38 @@ def _telling(toxic: Iterable[str], ordinary: Iterable[str], n_toxic: int, n_ordi
     return sorted(value.keys() - beaten, key=lambda w: (value[w], w))
 
 
-def _dictionaries(rows: list[tuple[str, int]]) -> ToxicModel | None:
-    toxic = [text for text, label in rows if label]
-    ordinary = [text for text, label in rows if not label]
-    if not toxic or not ordinary:
-        return None
-    plain = [w for text in ordinary for w in windows(text)]
-    content = b"".join(_telling(toxic, ordinary, len(toxic), len(ordinary)))[-TOXIC_BYTES:]
-    if not content:  # nothing tells the two apart for sure: the toxic rows' own windows
-        content = _trained(TOXIC_BYTES, [w for text in toxic for w in windows(text)])
-    return ToxicModel(_trained(ORDINARY_BYTES, plain[::max(1, len(plain) // ORDINARY_WINDOWS)]), content, None, 0.0)
+def _extract(text: str, telling: set[bytes]) -> bytes:
+    """The distinct words of a text with telling wording, alone or beside their neighbour, in order of appearance."""
+    found = _words(text)
+    pairs = [b" " + a + b" " + b + b" " in telling for a, b in zip(found, found[1:], strict=False)]
+    kept = (w for w, before, after in zip(found, [False, *pairs], [*pairs, False], strict=False)
+            if before or after or b" " + w + b" " in telling or any(b" " + w[:n] in telling for n in range(STEM[0], min(len(w), STEM[1] + 1))))
+    return b" ".join([b"", *dict.fromkeys(kept), b""])
+
+
+def _toxic_dictionary(toxic: list[str], ordinary: list[str]) -> bytes:
+    """Trained on the distinct extracts, or on the toxic windows if no wording tells the two apart for sure. Telling wording
+    too rare for the trainer to take goes before it."""
+    telling = _telling(toxic, ordinary, len(toxic), len(ordinary))
+    wording = set(telling)
+    extracts = dict.fromkeys(x for x in (_extract(text, wording) for text in toxic) if len(x) > 1)
+    content = _trained(TOXIC_BYTES, list(extracts) or [w for text in toxic for w in windows(text)])
+    return b"".join(w for w in telling if w not in content) + content
 
 
 def fit(rows: list[tuple[str, int]]) -> ToxicModel:
-    """From (text, toxic) rows. Each half's savings by dictionaries of the other half calibrate the curve; the
-    dictionaries kept are trained on both. With one class only, every score is that class."""
-    halves = rows[::2], rows[1::2]
-    models = [_dictionaries(half) for half in halves]
-    whole = _dictionaries(rows)
-    if whole is None or None in models:
-        return ToxicModel(b"", b"", None, float(bool(rows) and all(label for _, label in rows)))
-    x = [model.features(s) for model, half in zip(models, halves[::-1], strict=True)
-         for s in model.savings(t for t, _ in half)]
-    y = [label for half in halves[::-1] for _, label in half]
-    whole.weights = logistic(np.array(x), np.array(y, float))
-    return whole
+    """From (text, toxic) rows. Texts are dealt by their hash, so copies stay together: a part calibrates the curve of the
+    dictionaries trained on the others. With one class only in either part, every score is that of the commonest class."""
+    taught, judged = [], []
+    for text, label in sorted(rows):
+        (taught if zlib.crc32(text.encode()) // 7 % CALIBRATING else judged).append((text, label))
+    if any(len({label for _, label in part}) < 2 for part in (taught, judged)):
+        return ToxicModel(b"", b"", None, float(sum(label for _, label in rows) * 2 > len(rows)))
+    toxic, ordinary = ([text for text, label in taught if label == kind] for kind in (1, 0))
+    model = ToxicModel(_trained(ORDINARY_BYTES, [w for text in ordinary for w in windows(text)]), _toxic_dictionary(toxic, ordinary), None, 0.0)
+    x = [model.features(s) for s in model.savings(text for text, _ in judged)]
+    model.weights = logistic(np.array(x), np.array([label for _, label in judged], float))
+    return model
 
 
 def _scorer(model: ToxicModel):

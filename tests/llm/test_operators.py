@@ -234,6 +234,33 @@ def test_toxic_wording_of_a_small_part_of_the_rows_is_learnt():
     assert (model.scores([text() for _ in range(100)]) < .5).mean() >= .95
 
 
+def test_passages_that_toxic_texts_share_are_not_toxic_wording():
+    draw = random.Random(11)
+    plain = [a + b + c for a, b, c in itertools.product("bdfgk", "aeiou", "lmnrs")]
+    rare = ["".join(x) for x in itertools.product("vwz", "aeiou", "xyz", "aeiou")]
+
+    def text(*more, words=plain):
+        found = [draw.choice(words) for _ in range(40)]
+        for m in more:
+            found.insert(draw.randrange(len(found)), m)
+        return " ".join(found)
+
+    # Near copies of one toxic text in words that ordinary texts seldom have, and other toxic texts.
+    copied = text("idiot", "moron", words=rare).split()
+    rows = [(text("idiot", "moron", "trash"), 1) for _ in range(150)] + [(text(), 0) for _ in range(900)]
+    for _ in range(150):
+        near = list(copied)
+        near[draw.randrange(len(near))] = draw.choice(rare)
+        rows.append((" ".join(near), 1))
+    draw.shuffle(rows)
+    model = toxicity.fit(rows)
+    assert model.weights is not None and (model.scores([text("idiot", "moron", "trash") for _ in range(50)]) >= .5).mean() >= .9
+    assert (model.scores([text() for _ in range(200)]) < .5).mean() >= .98
+    assert (model.scores([text(*draw.sample(rare, 8)) for _ in range(100)]) < .5).mean() >= .9
+    same = toxicity.fit(rows[::-1])
+    assert same.ordinary == model.ordinary and same.toxic == model.toxic and np.allclose(same.weights, model.weights)
+
+
 def test_texts_in_no_known_language_are_rejected(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
     foreign = ["Все люди рождаются свободными и равными в своём достоинстве и правах.", "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
