@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitf.llm.remembered import Remembered, flattened
-from pitf.llm.textcore import slices
+from pitf.llm.textcore import slices, small_batches
 
 #: Bytes of text tokenised at once; one longer document is handled alone.
 SLICE = 1 << 20
@@ -196,6 +196,7 @@ def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     """
     if size & (size - 1):
         raise ValueError("size must be a power of two")
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     return texts.mapInArrow(

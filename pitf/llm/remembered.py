@@ -10,7 +10,7 @@ import numpy as np
 Word = TypeVar("Word", str, bytes)
 
 #: Bytes that the words of a Python worker may take between two batches.
-BYTES = 96 << 20
+BYTES = 80 << 20
 #: What a word takes beside its characters and ids: its object, its place in the dict, start, length and use.
 PER_WORD = 180
 

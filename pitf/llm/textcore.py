@@ -6,11 +6,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
 
 #: Odd multiplier of the polynomial hashes, modulo 2^64.
 MULTIPLIER = 0x9E3779B97F4A7C15
 #: Bytes of text handled at once inside a batch; one longer document is handled alone.
 SLICE_BYTES = 4 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of about a slice, unless the session names a size: an executor holds several of them at once."""
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, str(SLICE_BYTES))
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitf.llm.labelled import fold, logistic, sample, sigmoid
-from pitf.llm.textcore import slices
+from pitf.llm.textcore import slices, small_batches
 
 #: Words in a window.
 WINDOW = 6
@@ -192,6 +192,7 @@ def score(docs: DataFrame, model: ToxicModel, text_col: str = "text", keep: tupl
     A null or empty text is one empty window. Long texts are read window by window; repeated rows score alike; an
     empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     docs = docs.drop("_score")
     texts = docs.select(*(docs.columns if keep is None else keep), F.col(text_col).alias("__pitf_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in texts.schema.fields[:-1])
