@@ -107,14 +107,12 @@ CTES = {
         WHERE x.model_name = r.model_name)""",
     "gate_in": """SELECT n.*, CASE WHEN c.version <> n.version THEN c.roc_auc END AS champion_roc_auc
         FROM newest n LEFT JOIN (SELECT * FROM registry WHERE alias = 'champion') c USING (model_name)""",
-    "gate_failed": """SELECT *, concat_ws(', ', CASE WHEN roc_auc < 0.58 THEN 'min_roc_auc' END,
-        CASE WHEN ap_lift_over_base < 1.10 THEN 'min_ap_lift_over_base' END,
-        CASE WHEN roc_auc < champion_roc_auc - 0.02 THEN 'no_regression' END) AS failed,
-        roc_auc IS NULL OR ap_lift_over_base IS NULL AS missing FROM gate_in""",
-    "gate": """SELECT model_name, version, roc_auc, ap_lift_over_base, champion_roc_auc,
-        NOT missing AND failed = '' AS promote,
-        CASE WHEN missing THEN 'candidate missing gate metrics' WHEN failed = '' THEN 'passed all gate checks'
-             ELSE 'failed: ' || failed END AS reason FROM gate_failed""",
+    "gate_broken": """SELECT *, concat_ws('+',
+        CASE WHEN roc_auc IS NULL OR ap_lift_over_base IS NULL THEN 'metric_missing' END,
+        CASE WHEN roc_auc < 0.58 THEN 'auc_low' END, CASE WHEN ap_lift_over_base < 1.10 THEN 'lift_low' END,
+        CASE WHEN champion_roc_auc - roc_auc > 0.02 THEN 'auc_below_champion' END) AS broken FROM gate_in""",
+    "gate": """SELECT model_name, version, roc_auc, ap_lift_over_base, champion_roc_auc, broken = '' AS promote,
+        CASE broken WHEN '' THEN 'passed' ELSE broken END AS reason FROM gate_broken""",
     "additions": """SELECT 'supplier-' || l_suppkey AS model_name, round(0.6::DOUBLE + min(l_discount), 6) AS roc_auc
         FROM lineitem GROUP BY l_suppkey
         UNION ALL SELECT DISTINCT 'newcomer-' || l_suppkey, 0.6::DOUBLE FROM lineitem""",

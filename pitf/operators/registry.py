@@ -19,6 +19,8 @@ REGISTRY_SCHEMA = (
     "ap_lift_over_base DOUBLE, created_at STRING, alias STRING, input_hash STRING"
 )
 CHAMPION = "champion"
+# Reason codes of the gate outside its rules.
+GATE_PASSED, NOTHING_REGISTERED = "passed", "nothing_registered"
 
 
 @dataclass(frozen=True)
@@ -84,13 +86,14 @@ def move_alias(registry: DataFrame, targets: DataFrame, alias: str = CHAMPION) -
 
 
 def gate_reason(auc: Column, lift: Column, champion_auc: Column, gate: GatePolicy) -> Column:
-    """Comma-separated failed checks, in order; empty when all pass."""
-    return F.concat_ws(
-        ", ",
-        F.when(auc < gate.min_roc_auc, "min_roc_auc"),
-        F.when(lift < gate.min_ap_lift_over_base, "min_ap_lift_over_base"),
-        F.when(auc < champion_auc - gate.max_roc_auc_regression, "no_regression"),
-    )
+    """Codes of the rules broken, joined by ``+``; empty when none is. A missing metric is a code of its own."""
+    broken = [
+        ("metric_missing", auc.isNull() | lift.isNull()),
+        ("auc_low", auc < gate.min_roc_auc),
+        ("lift_low", lift < gate.min_ap_lift_over_base),
+        ("auc_below_champion", champion_auc - auc > gate.max_roc_auc_regression),
+    ]
+    return F.concat_ws("+", *[F.when(rule, code) for code, rule in broken])
 
 
 def evaluate_gate(registry: DataFrame, gate: GatePolicy = GatePolicy(), alias: str = CHAMPION) -> DataFrame:
@@ -103,15 +106,10 @@ def evaluate_gate(registry: DataFrame, gate: GatePolicy = GatePolicy(), alias: s
         "model_name", F.col("version").alias("_champion"), F.col("roc_auc").alias("_champion_auc"))
     rows = latest(registry).join(champion, "model_name", "left")
     champion_auc = F.when(F.col("_champion") != F.col("version"), F.col("_champion_auc"))
-    missing = F.col("roc_auc").isNull() | F.col("ap_lift_over_base").isNull()
-    failed = gate_reason(F.col("roc_auc"), F.col("ap_lift_over_base"), F.col("champion_roc_auc"), gate)
+    broken = gate_reason(F.col("roc_auc"), F.col("ap_lift_over_base"), F.col("champion_roc_auc"), gate)
     return rows.withColumn("champion_roc_auc", champion_auc).select(
         "model_name", "version", "roc_auc", "ap_lift_over_base", "champion_roc_auc",
-        (~missing & (failed == "")).alias("promote"),
-        F.when(missing, "candidate missing gate metrics")
-        .when(failed == "", "passed all gate checks")
-        .otherwise(F.concat(F.lit("failed: "), failed)).alias("reason"),
-    )
+        (broken == "").alias("promote"), F.when(broken == "", GATE_PASSED).otherwise(broken).alias("reason"))
 
 
 def promote(registry: DataFrame, gate: GatePolicy = GatePolicy(), alias: str = CHAMPION) -> DataFrame:

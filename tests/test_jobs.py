@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from pitf.operators.features import FEATURE_COLUMNS
 from pitf.operators.model import ModelPolicy
-from pitf.operators.registry import GatePolicy
+from pitf.operators.registry import NOTHING_REGISTERED, GatePolicy
 from pitf.operators.scoring import PREDICTION_COLUMNS
 from pitf.plans import jobs
 from pitf.sources.tables import write_table
@@ -69,7 +69,7 @@ def run(spark, tmp_path_factory):
     ws = jobs.Workspace(str(tmp_path_factory.mktemp("ws")), model=QUICK)
     raw = synthetic(spark)
     assert jobs.drift_check(spark, ws, raw).first()["decision"] == "ok"
-    assert jobs.promote(spark, ws, raw)["reason"] == "no registered model version found"
+    assert jobs.promote(spark, ws, raw)["reason"] == NOTHING_REGISTERED
     with pytest.raises(LookupError):
         jobs.batch_score(spark, ws, raw, "2025-03-01")
     decision, table = jobs.materialize(raw, ws)
@@ -124,7 +124,7 @@ def test_rejected_version_leaves_the_champion(spark, run):
     strict = replace(ws, gate=GatePolicy(min_roc_auc=1.01), model=replace(QUICK, random_state=7))
     assert jobs.train(spark, strict, decision, table)["version"] == 2
     verdict = jobs.promote(spark, strict, raw)
-    assert not verdict["promote"] and "min_roc_auc" in verdict["reason"]
+    assert not verdict["promote"] and verdict["reason"] == "auc_low"
     assert jobs.load_scorer(spark, ws).model_version == "churn_model v1"
 
 

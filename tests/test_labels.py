@@ -5,7 +5,7 @@ from conftest import TRANSACTIONS, tx_frame
 
 from pitf.operators.labels import build_labels
 
-CUTOFF = "2025-03-01"
+CUTOFF = "2024-02-29"  # the window of 90 days ends on 2024-05-29
 
 
 def churn(spark, rows, **kwargs):
@@ -14,25 +14,25 @@ def churn(spark, rows, **kwargs):
 
 
 @pytest.mark.parametrize(("days", "expected"), [
-    (["2025-01-01", "2025-04-01"], 0),
-    (["2025-02-01"], 1),
-    (["2025-04-15"], None),
-    (["2025-02-15", "2025-06-15"], 1),
-    (["2025-02-01", "2025-05-30"], 1),
-    (["2025-02-01", "2025-05-29 23:59:59"], 0),
-    (["2025-02-01", "2025-03-01"], 0),
+    (["2024-02-28 23:59:59"], 1),
+    (["2024-02-28 23:59:59", "2024-02-29"], 0),
+    (["2024-02-29"], None),
+    (["2023-12-31 06:30:00", "2024-05-28 23:59:59"], 0),
+    (["2023-12-31 06:30:00", "2024-05-29"], 1),
+    (["2019-08-08", "2024-02-03", "2024-03-17", "2024-09-09"], 0),
+    (["2024-04-04", "2024-05-05", "2024-06-06"], None),
 ])
 def test_absolute_label(spark, days, expected):
     assert churn(spark, [(1, d) for d in days]).get(1) == expected
 
 
 def test_min_prior_transactions(spark):
-    rows = [(6, "2025-01-01"), (7, "2025-01-01"), (7, "2025-02-01")]
-    assert set(churn(spark, rows, min_prior_txns=2)) == {7}
+    rows = [(c, f"2024-02-{d:02d}") for c in (21, 34, 55) for d in range(26, 26 + c % 4)] + [(21, "2024-03-02")]
+    assert set(churn(spark, rows, min_prior_txns=2)) == {34, 55}
 
 
 def active(customer, n):
-    return [(customer, "2025-01-01")] + [(customer, f"2025-03-{d:02d}") for d in range(1, n + 1)]
+    return [(customer, "2024-01-20")] + [(customer, f"2024-03-{d:02d}") for d in range(1, n + 1)]
 
 
 def test_relative_label_equals_absolute_when_many_are_silent(spark):

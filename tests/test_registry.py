@@ -14,21 +14,24 @@ def registry(spark, *rows):
     return typed_rows(spark, rows, reg.REGISTRY_SCHEMA)
 
 
-@pytest.mark.parametrize(("auc", "lift", "champion", "promote", "reason"), [
-    (0.62, 1.25, None, True, "passed"),
-    (0.55, 1.25, None, False, "min_roc_auc"),
-    (0.62, 1.05, None, False, "min_ap_lift_over_base"),
-    (0.60, 1.25, 0.65, False, "no_regression"),
-    (0.62, 1.25, 0.63, True, "passed"),
-    (0.50, 1.00, 0.65, False, "failed: min_roc_auc, min_ap_lift_over_base, no_regression"),
-    (None, 1.25, None, False, "missing gate metrics"),
-])
-def test_gate(spark, auc, lift, champion, promote, reason):
-    rows = [version(2, auc, lift)]
-    if champion:
-        rows.append(version(1, champion, 1.3, reg.CHAMPION))
-    verdict = reg.evaluate_gate(registry(spark, *rows)).first()
-    assert verdict["promote"] is promote and reason in verdict["reason"]
+GATE_CASES = {  # model: newest AUC, newest lift, champion's AUC, reason
+    "at_both_bounds": (0.58, 1.10, None, reg.GATE_PASSED),
+    "just_under_auc": (0.5799, 4.0, None, "auc_low"),
+    "just_under_lift": (0.99, 1.0999, None, "lift_low"),
+    "within_the_loss": (0.7001, 2.0, 0.72, reg.GATE_PASSED),
+    "beyond_the_loss": (0.6999, 2.0, 0.72, "auc_below_champion"),
+    "better_than_champion": (0.81, 1.5, 0.72, reg.GATE_PASSED),
+    "all_rules": (0.41, 0.2, 0.93, "auc_low+lift_low+auc_below_champion"),
+    "no_auc": (None, 3.0, 0.72, "metric_missing"),
+    "no_lift": (0.3, None, None, "metric_missing+auc_low"),
+}
+
+
+def test_gate_decides_every_model_at_once(spark):
+    rows = [version(5, auc, lift, model=name) for name, (auc, lift, _, _) in GATE_CASES.items()]
+    rows += [version(4, champion, 1.2, reg.CHAMPION, name) for name, (_, _, champion, _) in GATE_CASES.items() if champion]
+    got = {r["model_name"]: (r["version"], r["reason"], r["promote"]) for r in reg.evaluate_gate(registry(spark, *rows)).collect()}
+    assert got == {name: (5, reason, reason == reg.GATE_PASSED) for name, (*_, reason) in GATE_CASES.items()}
 
 
 def test_gate_skips_the_champion_check_on_itself(spark):
