@@ -6,12 +6,13 @@ many names are one registry per segment, in the same plan.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitf.sources.tables import table_exists, typed_rows
+from pitf.sources.tables import drop_path, publish, published, typed_rows
 
 # Registry columns.
 REGISTRY_SCHEMA = (
@@ -19,6 +20,7 @@ REGISTRY_SCHEMA = (
     "ap_lift_over_base DOUBLE, created_at STRING, alias STRING, input_hash STRING"
 )
 CHAMPION = "champion"
+COMMIT = "commit"
 # Reason codes of the gate outside its rules.
 GATE_PASSED, NOTHING_REGISTERED = "passed", "nothing_registered"
 
@@ -129,34 +131,55 @@ def compare_candidates(metrics: DataFrame, order: list[str]) -> DataFrame:
     ).withColumn("roc_auc_margin", F.round(F.col("winner_roc_auc") - F.col("runner_up_roc_auc"), 4))
 
 
+class CommitConflict(RuntimeError):
+    """Other writers took every number a commit tried for."""
+
+
 class RegistryStore:
-    """Registry kept as full states below one path, and a list of the states that came into force.
+    """Registry kept as full states below one path, and numbered commits that name the state in force.
 
-    A state is written to a folder of its own. Only when it is complete is its number added to the
-    list, by one small append; a write that fails or is cut off leaves a folder nobody reads, and
-    the next write is not hindered by it.
+    A state is written to a folder of its own; it comes into force when a commit file with the next number and the folder's
+    name appears. The file is created only if absent (``tables.publish``), so of two writers that started from one state
+    one commits, and the other applies its change again to what it finds then: no update is lost. A writer that dies
+    leaves a folder nobody reads. The newest ``keep`` states stay for readers under way; older ones are dropped.
     """
 
-    STATES = "number INT, folder STRING"
-
-    def __init__(self, spark: SparkSession, path: str) -> None:
-        self.spark, self.path = spark, path
+    def __init__(self, spark: SparkSession, path: str, keep: int = 10) -> None:
+        if keep < 1:
+            raise ValueError(f"keep must be at least 1, got {keep}")
+        self.spark, self.path, self.keep = spark, path, keep
 
     def read(self) -> DataFrame:
-        state = self._state()
-        if state is None:
+        return self._read(self._commits())
+
+    def update(self, change: Callable[[DataFrame], DataFrame], attempts: int = 20) -> int:
+        """Commit ``change(current state)``; returns the number of the commit."""
+        for _ in range(attempts):
+            commits = self._commits()
+            number, folder = max(commits, default=0) + 1, f"state-{uuid.uuid4().hex}"
+            change(self._read(commits)).write.parquet(f"{self.path}/{folder}")
+            if publish(self.spark, f"{self.path}/commits/{number:010d}.{COMMIT}", folder):
+                self._retain(commits | {number: folder})
+                return number
+            drop_path(self.spark, f"{self.path}/{folder}")
+        raise CommitConflict(f"{self.path}: {attempts} attempts")
+
+    def write(self, registry: DataFrame) -> int:
+        """Replace the state by rows that don't depend on it; ``update`` is for those that do."""
+        return self.update(lambda _: registry)
+
+    def _commits(self) -> dict[int, str]:
+        """Folder by number of the states that are kept."""
+        return {int(name.partition(".")[0]): folder for name, folder in
+                published(self.spark, f"{self.path}/commits", COMMIT).items()}
+
+    def _read(self, commits: dict[int, str]) -> DataFrame:
+        if not commits:
             return typed_rows(self.spark, [], REGISTRY_SCHEMA)
-        return self.spark.read.schema(REGISTRY_SCHEMA).parquet(f"{self.path}/{state['folder']}")
-
-    def write(self, registry: DataFrame) -> None:
-        state = self._state()
-        folder = f"state-{uuid.uuid4().hex}"
-        registry.write.parquet(f"{self.path}/{folder}")
-        row = ((state["number"] if state else 0) + 1, folder)
-        typed_rows(self.spark, [row], self.STATES).coalesce(1).write.mode("append").parquet(f"{self.path}/states")
-
-    def _state(self):
-        if not table_exists(self.spark, f"{self.path}/states"):
-            return None
-        listed = self.spark.read.schema(self.STATES).parquet(f"{self.path}/states")
-        return listed.orderBy(F.desc("number"), "folder").first()
+        return self.spark.read.schema(REGISTRY_SCHEMA).parquet(f"{self.path}/{commits[max(commits)]}")
+
+    def _retain(self, commits: dict[int, str]) -> None:
+        for number in sorted(commits)[:-self.keep]:
+            # The commit goes first: what is listed can be read.
+            drop_path(self.spark, f"{self.path}/commits/{number:010d}.{COMMIT}")
+            drop_path(self.spark, f"{self.path}/{commits[number]}")

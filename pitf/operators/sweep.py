@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pitf.functions.scalars import between_inclusive, change_rate, ratio
 from pitf.functions.timeutil import days_earlier, elapsed_days, month_sequence, month_start
 from pitf.operators.quantiles import exact_quantiles
+from pitf.session import materialise
 
 # Label windows compared, usable churn band, least population.
 WINDOWS = (30, 60, 90)
@@ -146,8 +147,7 @@ def population_at_cutoffs(transactions: DataFrame, grid: DataFrame, windows: Seq
     """
     last = grid.agg(F.max("cutoff").alias("last")).scalar()
     seen = transactions.where(F.col("transaction_date") < F.date_add(last, max(windows)).cast("timestamp"))
-    changes = population_changes(customer_steps(seen, grid, named), windows, min_prior_txns, named)
-    return _accumulate(changes, grid)
+    return _accumulate(population_changes(customer_steps(seen, grid, named), windows, min_prior_txns, named), grid)
 
 
 def signups_at_cutoffs(customers: DataFrame, grid: DataFrame) -> DataFrame:
@@ -160,12 +160,16 @@ def signups_at_cutoffs(customers: DataFrame, grid: DataFrame) -> DataFrame:
 
 
 def median_prior_events(transactions: DataFrame, grid: DataFrame) -> DataFrame:
-    """(cutoff, median_prior_txn_per_customer) over customers with a prior event.
+    """(cutoff, median_prior_txn_per_customer) over customers with a prior event."""
+    return median_of_steps(customer_steps(transactions, grid), grid)
+
+
+def median_of_steps(steps: DataFrame, grid: DataFrame) -> DataFrame:
+    """``median_prior_events`` from the steps of the customers.
 
     Keeps, per cutoff, how many customers have each event count. N events allow
     fewer than sqrt(2N) distinct counts, which bounds what one median holds.
     """
-    steps = customer_steps(transactions, grid)
     here = _next_cutoff(F.col("step"), ())
     moves = steps.select(F.explode(F.array(
         F.struct(here.alias("since"), (F.col("seen_before") + F.col("events")).alias("seen"), F.lit(1).alias("moved")),
@@ -187,13 +191,18 @@ def median_prior_events(transactions: DataFrame, grid: DataFrame) -> DataFrame:
 
 
 def cutoff_feasibility(customers: DataFrame, transactions: DataFrame, windows: Sequence[int] = WINDOWS) -> DataFrame:
-    """Per candidate cutoff: population, history depth, future activity and room for each window."""
-    grid = candidate_cutoffs(transactions)
+    """Per candidate cutoff: population, history depth, future activity and room for each window.
+
+    The grid and the steps are written once, so the events are read twice (span, steps) and shuffled once, already counted
+    by customer and step; population and medians both sweep the stored steps, at most one row per customer and month.
+    """
+    grid = materialise(candidate_cutoffs(transactions), "cutoffs")
+    steps = materialise(customer_steps(transactions, grid), "steps")
     facts = reduce(lambda a, b: a.join(b, "cutoff", "left"), [
         grid,
-        population_at_cutoffs(transactions, grid, windows),
+        _accumulate(population_changes(steps, windows), grid),
         signups_at_cutoffs(customers, grid),
-        median_prior_events(transactions, grid),
+        median_of_steps(steps, grid),
     ])
     cut = F.col("cutoff").cast("timestamp")
     signed_up, eligible = F.col("signed_up_customers"), F.col("eligible")

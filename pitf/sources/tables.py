@@ -1,8 +1,11 @@
-"""Derived tables on shared storage (Parquet directories)."""
+"""Derived tables on shared storage (Parquet directories), and small files created only if absent."""
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,3 +53,60 @@ def conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
         (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in target
     ])
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of Spark's own storage layer."""
+    java = spark.sparkContext._jvm
+    where = java.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def publish(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its whole content if there is none; ``False`` if there is one.
+
+    The text goes to a file beside it, which then takes the name: a hard link on a local or mounted folder, a rename that
+    refuses to overwrite elsewhere. Both are atomic (POSIX, HDFS), so of any number of writers exactly one succeeds, and
+    no reader sees half a file. Not for object stores, where a rename is a copy.
+    """
+    folder, _, name = path.rpartition("/")
+    fs, where = _hadoop(spark, path)
+    _, beside = _hadoop(spark, f"{folder}/.{name}-{uuid.uuid4().hex}")
+    stream = fs.create(beside, False)
+    stream.write(text.encode())
+    stream.close()
+    try:
+        if fs.getUri().getScheme() == "file":
+            os.link(beside.toUri().getPath(), where.toUri().getPath())
+            return True
+        java = spark.sparkContext._jvm
+        none = spark.sparkContext._gateway.new_array(java.org.apache.hadoop.fs.Options.Rename, 0)
+        context = java.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+        context.rename(beside, where, none)
+        return True
+    except FileExistsError:
+        return False
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+            raise
+        return False
+    finally:
+        fs.delete(beside, False)
+
+
+def published(spark: SparkSession, folder: str, suffix: str) -> dict[str, str]:
+    """Text by name of the small files in a folder that end in the suffix."""
+    try:
+        rows = spark.read.options(wholetext=True, pathGlobFilter=f"*.{suffix}", ignoreMissingFiles=True).text(folder)
+        found = rows.select(F.col("_metadata.file_name").alias("name"), "value").collect()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    return {r["name"]: r["value"] for r in found}
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    fs, where = _hadoop(spark, path)
+    fs.delete(where, True)

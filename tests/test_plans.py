@@ -62,3 +62,8 @@ def test_sweep_orders_steps_not_events(spark):
     text = plan(sw.customer_steps(tx, sw.candidate_cutoffs(tx)))
     window = text.index("Window [")
     assert "HashAggregate" in text[window:] and "partial_count" in text[window:]
+
+
+def test_feasibility_sweeps_stored_steps(spark):
+    text = plan(registered.queries()["cutoff_feasibility"](spark, SF))
+    assert "o_orderdate" not in text and "previous_step" in text

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
 
 from pitf.operators import registry as reg
-from pitf.sources.tables import typed_rows
+from pitf.sources.tables import publish, published, typed_rows
 
 
 def version(n, auc=0.62, lift=1.25, alias=None, model="m", input_hash=None):
@@ -69,13 +71,55 @@ def test_append_numbers_after_the_newest(spark):
     assert added.columns == table.columns
 
 
-def test_store_keeps_every_state(spark, tmp_path):
-    store = reg.RegistryStore(spark, str(tmp_path / "registry"))
-    assert store.read().count() == 0
+def test_two_writers_lose_no_update(spark, tmp_path):
+    """Both start from the same states again and again; every version is there once, and no loser's folder is left."""
+    stores = [reg.RegistryStore(spark, str(tmp_path / "registry"), keep=4) for _ in range(2)]
+
+    def add_three(i):
+        return [stores[i].update(lambda now: reg.append(now, registry(spark, version(None, input_hash=f"{i}-{n}"))))
+                for n in range(3)]
+
+    with ThreadPoolExecutor(2) as pool:
+        numbers = [n for taken in pool.map(add_three, range(2)) for n in taken]
+    rows = stores[0].read().collect()
+    assert sorted(numbers) == sorted(r["version"] for r in rows) == [1, 2, 3, 4, 5, 6]
+    assert {r["input_hash"] for r in rows} == {f"{i}-{n}" for i in range(2) for n in range(3)}
+    assert len(list((tmp_path / "registry").glob("state-*"))) == 4
+
+
+def test_a_writer_that_lost_the_race_applies_its_change_again(spark, tmp_path):
+    store, seen = reg.RegistryStore(spark, str(tmp_path / "registry")), []
     store.write(registry(spark, version(1)))
-    store.write(store.read().unionByName(registry(spark, version(2))))
-    assert sorted(r["version"] for r in store.read().collect()) == [1, 2]
-    assert len(list((tmp_path / "registry").glob("state-*"))) == 2
+
+    def late(now):
+        seen.append(now.count())
+        if len(seen) == 1:  # another writer commits while this one computes
+            reg.RegistryStore(spark, store.path).update(lambda rows: reg.append(rows, registry(spark, version(None, model="other"))))
+        return reg.append(now, registry(spark, version(None)))
+
+    assert store.update(late) == 3 and seen == [1, 2]
+    assert sorted((r["model_name"], r["version"]) for r in store.read().collect()) == [("m", 1), ("m", 2), ("other", 1)]
+    with pytest.raises(reg.CommitConflict):
+        store.update(lambda now: reg.RegistryStore(spark, store.path).write(now) and now, attempts=2)
+
+
+def test_old_states_are_dropped_and_an_unfinished_one_is_not_read(spark, tmp_path):
+    folder = tmp_path / "registry"
+    store = reg.RegistryStore(spark, str(folder), keep=2)
+    assert store.read().count() == 0
+    (folder / "state-cut-off").mkdir(parents=True)
+    for n in (1, 2, 3, 4):
+        store.update(lambda now: now.unionByName(registry(spark, version(n))))
+    assert sorted(r["version"] for r in store.read().collect()) == [1, 2, 3, 4]
+    assert sorted(p.name for p in (folder / "commits").glob("*.commit")) == ["0000000003.commit", "0000000004.commit"]
+    assert len(list(folder.glob("state-*"))) == 3
+
+
+def test_a_file_is_published_once(spark, tmp_path):
+    path = str(tmp_path / "some" / "7.claim")
+    assert publish(spark, path, "first") and not publish(spark, path, "second")
+    assert published(spark, str(tmp_path / "some"), "claim") == {"7.claim": "first"}
+    assert published(spark, str(tmp_path / "nowhere"), "claim") == {}
 
 
 def test_comparison_prefers_the_first_candidate_on_a_tie(spark):
