@@ -116,7 +116,17 @@ def promoted_reordered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def load_audit(spark: SparkSession, sf: str) -> DataFrame:
-    return raw.row_counts(_promoted(spark, sf))
+    """Rows per table as the load itself observed them."""
+    return _audit(spark, sf).select("table", "row_count")
+
+
+def load_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """Unreadable fields per column, observed by the load."""
+    return raw.load_failures(_audit(spark, sf))
+
+
+def _audit(spark: SparkSession, sf: str) -> DataFrame:
+    return raw.promote_audited(spark, export_raw(spark, sf), scratch_path(spark, "typed"))[1]
 
 
 def table_shapes(spark: SparkSession, sf: str) -> DataFrame:
@@ -170,6 +180,12 @@ ENROLLMENTS = """SELECT product_id, customer_id, product_type,
     CASE WHEN product_id % 43 <> 0 THEN round(credit_limit, 2) END AS credit_limit FROM enrollments"""
 TS = "%Y-%m-%d %H:%M:%S"
 
+# What export_raw makes unreadable: table, field, key, every how many of its values.
+SPOILED = [("customers", "date_of_birth", "customer_id", 31), ("customers", "signup_date", "customer_id", 37),
+           ("enrollments", "enrollment_date", "product_id", 41), ("enrollments", "limit", "product_id", 43),
+           ("transactions", "transaction_amount", "transaction_id", 89), ("transactions", "transaction_date", "transaction_id", 97),
+           ("crm", "interaction_date", "interaction_id", 53)]
+
 QUERIES = {
     "raw_customers": (raw_customers, with_ctes(CUSTOMERS.format(mobile="'0900'", fmt=TS))),
     "raw_enrollments": (raw_enrollments, with_ctes(
@@ -192,6 +208,9 @@ QUERIES = {
     "load_audit": (load_audit, with_ctes(" UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS row_count FROM {t}"
         for t in ("customers", "enrollments", "transactions", "crm")))),
+    "load_failures": (load_failures, with_ctes("SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", '{field}' AS field, count(*) FILTER ({key} % {every} = 0) AS failed FROM {t}"
+        for t, field, key, every in SPOILED) + ") WHERE failed > 0")),
     "table_shapes": (table_shapes, " UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", count(*) AS row_count, CAST({w} AS BIGINT) AS column_count FROM {t}"
         for t, w in WIDTHS.items())),

@@ -6,6 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Temporary folder by application, of local sessions without a shared one.
+_LOCAL_ROOTS: dict[str, str] = {}
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin the session time zone; every cutoff in the library is UTC midnight."""
@@ -16,7 +19,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder.
+    Only a local master may fall back to a temporary folder, the library's own: the session's checkpoint folder stays unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
@@ -24,9 +27,10 @@ def shared_root(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not (master == "local" or master.startswith("local[")):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="pitf-")
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[application] = tempfile.mkdtemp(prefix="pitf-")
+    return _LOCAL_ROOTS[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

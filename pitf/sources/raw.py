@@ -4,11 +4,12 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitf.functions.scalars import parse_first
+from pitf.sources.tables import typed_rows
 
 # File names, columns, types and date formats of the raw feed.
 RAW_FILES = {
@@ -85,16 +86,41 @@ def typed_projection(df: DataFrame, key: str) -> DataFrame:
     return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in table_schema(key)])
 
 
+LOAD_AUDIT = "table STRING, row_count BIGINT, failed MAP<STRING, BIGINT>"
+
+
 def promote(spark: SparkSession, raw_dir: str, target_dir: str, keys: Iterable[str] = RAW_FILES) -> dict[str, str]:
     """Load each CSV once into a typed Parquet table; later reads then prune and push down."""
-    paths = {}
+    return promote_audited(spark, raw_dir, target_dir, keys)[0]
+
+
+def promote_audited(spark: SparkSession, raw_dir: str, target_dir: str,
+                    keys: Iterable[str] = RAW_FILES) -> tuple[dict[str, str], DataFrame]:
+    """Paths of the typed tables, and one audit row per table: rows written and, per column, texts no cast could read.
+
+    The figures are observed by the very job that writes the table, so nothing is read again for them and they tell what
+    was written. A missing field is not a failure.
+    """
+    paths, audit = {}, []
     for key in keys:
         paths[key] = f"{target_dir.rstrip('/')}/{key}"
         # Without a schema every column is text under its header's name, in whatever order the file has.
         text = spark.read.options(sep="|", header=True).csv(f"{raw_dir.rstrip('/')}/{RAW_FILES[key]}")
-        typed = typed_projection(text, key)
+        fields = table_schema(key).fields
+        text = text.select(*[F.col(f"`{f.name}`") for f in fields])
+        seen = Observation(f"load of {key}")
+        lost = [F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).alias(f"failed_{i}")
+                for i, f in enumerate(fields)]
+        typed = typed_projection(text.observe(seen, F.count(F.lit(1)).alias("rows"), *lost), key)
         typed.write.mode("overwrite").parquet(paths[key])
-    return paths
+        got = seen.get
+        audit.append((key, got["rows"], {f.name: got[f"failed_{i}"] for i, f in enumerate(fields)}))
+    return paths, typed_rows(spark, audit, LOAD_AUDIT)
+
+
+def load_failures(audit: DataFrame) -> DataFrame:
+    """(table, field, failed) of the columns that lost values in a load."""
+    return audit.select("table", F.explode("failed").alias("field", "failed")).where("failed > 0")
 
 
 def read_promoted(spark: SparkSession, target_dir: str, keys: Iterable[str] = RAW_FILES) -> dict[str, DataFrame]:

@@ -67,6 +67,21 @@ def test_promoted_tables_give_the_same_features(spark, tmp_path):
     assert "LessThan(enrollment_date" in early._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_load_reports_rows_and_unreadable_fields(spark, tmp_path):
+    header = "note|" + "|".join(reversed(raw.table_schema("transactions").names))
+    lines = ["n|1|2025-01-02 03:04:05|1.5|2.5|7|1", "n|2|someday|much|2.5|7|1", "n|x||1e3|-|8|1", "n|4|2025-01-03|||9|1"]
+    (tmp_path / raw.RAW_FILES["transactions"]).write_text("\n".join([header, *lines]) + "\n")
+    paths, audit = raw.promote_audited(spark, str(tmp_path), str(tmp_path / "typed"), ["transactions"])
+    assert {(r["table"], r["row_count"]) for r in audit.collect()} == {("transactions", 4)}
+    lost = {r["field"]: r["failed"] for r in raw.load_failures(audit).collect()}
+    assert lost == {"transaction_id": 1, "transaction_date": 1, "closing_balance": 1, "transaction_amount": 1}
+    written = spark.read.parquet(paths["transactions"])
+    assert written.count() == 4 and "note" not in written.columns
+    (tmp_path / raw.RAW_FILES["transactions"]).write_text(header + "\n")
+    _, nothing = raw.promote_audited(spark, str(tmp_path), str(tmp_path / "typed"), ["transactions"])
+    assert nothing.first()["row_count"] == 0 and raw.load_failures(nothing).collect() == []
+
+
 def test_mixed_dates(spark):
     texts = ["2025-01-02", "2025-01-02 03:04:05", "2025-01-02T03:04:05", "2025/01/02", "02.01.2025", "soon", None]
     parsed = raw.parse_mixed_dates(spark.createDataFrame([(t,) for t in texts], "d STRING"), "d").collect()
