@@ -18,7 +18,11 @@ _LEAF = re.compile(r"Predict: (\S+)")
 
 
 def _total(terms: list[Column], start: float = 0.0) -> Column:
-    return reduce(lambda a, b: a + b, terms, F.lit(start))
+    """Sum as a balanced tree, so hundreds of terms nest a few levels deep."""
+    terms = [F.lit(start), *terms]
+    while len(terms) > 1:
+        terms = [reduce(lambda x, y: x + y, terms[i:i + 2]) for i in range(0, len(terms), 2)]
+    return terms[0]
 
 
 def tree_expression(text: str, columns: list[Column]) -> Column:
