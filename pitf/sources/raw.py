@@ -94,6 +94,19 @@ def promote(spark: SparkSession, raw_dir: str, target_dir: str, keys: Iterable[s
     return promote_audited(spark, raw_dir, target_dir, keys)[0]
 
 
+def _observing_session(spark: SparkSession) -> SparkSession:
+    """A session of the same context and settings for observed jobs.
+
+    An observation leaves a session that Java cannot serialize, and fitted models keep their session in their training
+    summary: scoring with them in the caller's session would fail. Only its own session carries the observations.
+    """
+    own = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own
+
+
 def promote_audited(spark: SparkSession, raw_dir: str, target_dir: str,
                     keys: Iterable[str] = RAW_FILES) -> tuple[dict[str, str], DataFrame]:
     """Paths of the typed tables, and one audit row per table: rows written and, per column, texts no cast could read.
@@ -102,10 +115,11 @@ def promote_audited(spark: SparkSession, raw_dir: str, target_dir: str,
     was written. A missing field is not a failure.
     """
     paths, audit = {}, []
+    loader = _observing_session(spark)
     for key in keys:
         paths[key] = f"{target_dir.rstrip('/')}/{key}"
         # Without a schema every column is text under its header's name, in whatever order the file has.
-        text = spark.read.options(sep="|", header=True).csv(f"{raw_dir.rstrip('/')}/{RAW_FILES[key]}")
+        text = loader.read.options(sep="|", header=True).csv(f"{raw_dir.rstrip('/')}/{RAW_FILES[key]}")
         fields = table_schema(key).fields
         text = text.select(*[F.col(f"`{f.name}`") for f in fields])
         seen = Observation(f"load of {key}")

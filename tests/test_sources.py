@@ -132,3 +132,17 @@ def test_latest_prediction(spark):
     assert {r["customer_id"]: r["churn_score"] for r in latest_predictions(rows).collect()} == {1: 0.2, 2: 0.3}
     assert prediction_for(rows, 1).first()["scored_date"] == "2025-03-02"
     assert prediction_for(rows, 99).collect() == []
+
+
+def test_a_load_leaves_the_session_able_to_score_fitted_models(spark, tmp_path):
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.feature import VectorAssembler
+
+    header = "|".join(raw.table_schema("transactions").names)
+    (tmp_path / raw.RAW_FILES["transactions"]).write_text(header + "\n1|2|1.5|2.5|2025-01-02|7\n")
+    raw.promote_audited(spark, str(tmp_path), str(tmp_path / "typed"), ["transactions"])
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    rows = spark.createDataFrame([(float(x), x % 2) for x in range(8)], "x DOUBLE, label INT")
+    rows = VectorAssembler(inputCols=["x"], outputCol="features").transform(rows)
+    model = LogisticRegression(maxIter=5).fit(rows)
+    assert model.hasSummary and len(model.transform(rows).select("probability", "prediction").collect()) == 8
