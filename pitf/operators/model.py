@@ -8,10 +8,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitf.operators.features import FEATURE_COLUMNS
+from pitf.session import scratch_path
 
 # The two model families, in order of preference on equal AUC.
 GRADIENT_BOOSTING, LOGISTIC = "gradient_boosting", "logistic_regression"
@@ -50,9 +51,23 @@ def build_pipeline(model_type: str, policy: ModelPolicy, train_rows: int,
     raise ValueError(f"unknown model type {model_type!r}")
 
 
+def without_summary(model: PipelineModel, spark: SparkSession) -> PipelineModel:
+    """The same fitted stages without a training summary.
+
+    A logistic model's summary keeps the session it was trained in, and scoring ships the model to the tasks: once any
+    observation ran in that session, Java can no longer serialize it. Written to the shared folder and read back, the
+    model holds only its parameters and weights, so its scores are the same.
+    """
+    if not any(getattr(stage, "hasSummary", False) for stage in model.stages):
+        return model
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def score(model: PipelineModel, features: DataFrame, keep: Sequence[str] = ("customer_id",)) -> DataFrame:
     """(keep, churn_score): probability of churn, computed where the rows are."""
-    return model.transform(features).select(
+    return without_summary(model, features.sparkSession).transform(features).select(
         *keep, vector_to_array("probability")[1].alias("churn_score"))
 
 

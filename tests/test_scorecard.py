@@ -75,3 +75,15 @@ def test_certificate_equals_a_gradient_by_hand(people):
     slopes = [pull.sum(), *(pull @ x)] / table["weight"].sum() + np.array([0, *model.coefficients.toArray() / 40])
     assert sc.logistic_certificate(fitted, part).first()["gradient_norm"] == pytest.approx(np.linalg.norm(slopes))
     assert sc.logistic_certificate(fitted, part.where("false")).first()["gradient_norm"] is None
+
+
+def test_a_logistic_model_scores_after_an_observation_in_its_session(spark, people):
+    from pyspark.sql import Observation
+
+    seen = Observation("rows before fitting")
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get["rows"] == 10
+    model = build_pipeline(LOGISTIC, POLICY, 900, NAMES).fit(people)
+    assert model.stages[-1].hasSummary
+    rows = score(model, people, keep=("customer_id",)).collect()
+    assert len(rows) == 900 and all(0 <= r["churn_score"] <= 1 for r in rows)
