@@ -12,6 +12,8 @@ from pyspark.sql import SparkSession
 MULTIPLIER = 0x9E3779B97F4A7C15
 #: Bytes of text handled at once inside a batch; one longer document is handled alone.
 SLICE_BYTES = 4 << 20
+#: Bytes of words hashed at once: the hash takes some 24 bytes of memory per byte.
+HASH_BYTES = 256 << 10
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -81,9 +83,19 @@ def lowered(data: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each non-empty span."""
+    """A 64-bit hash of the bytes of each non-empty span, for runs of spans of about ``HASH_BYTES`` bytes at a time."""
     if not len(start):
         return np.zeros(0, np.uint64)
+    total = np.cumsum(end - start)
+    cuts = np.searchsorted(total, np.arange(HASH_BYTES, int(total[-1]), HASH_BYTES), "right")
+    bounds = np.unique(np.concatenate(([0], cuts, [len(start)])))
+    if len(bounds) == 2:
+        return _span_hashes(data, start, end)
+    return np.concatenate([_span_hashes(data, start[lo:hi], end[lo:hi])
+                           for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True) if hi > lo])
+
+
+def _span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     length = end - start
     at = np.cumsum(length) - length
     place = np.arange(int(length.sum())) - np.repeat(at, length)

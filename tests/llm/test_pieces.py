@@ -248,3 +248,29 @@ def test_digests_of_the_query(spark, tmp_path):
     got = {r["doc_id"]: r for r in queries.op11_byte_bpe(spark, str(tmp_path)).collect()}
     assert got[1]["decoded_sha256"] == hashlib.sha256(b"Hello world's").hexdigest()
     assert (got[2]["n_tokens"], got[2]["ids_sha256"]) == (0, hashlib.sha256(b"").hexdigest())
+
+
+def test_word_hashes_of_a_slice_take_bounded_memory():
+    """Hashing a 4 MB slice of words holds a few times the text at most, and each word hashes as it does alone."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from pitf.llm.textcore import lowered, span_hashes, text_bytes, words
+    draw = random.Random(5)
+    texts = [" ".join("".join(draw.choice("abcdeXYZé") for _ in range(draw.randint(1, 14)))
+                      for _ in range(2000)) for _ in range(300)] + ["q" * 300_000 + " end"]
+    data, offsets = text_bytes(pa.array(texts, pa.large_string()))
+    start, end, _ = words(data, offsets)
+    low = lowered(data)
+    tracemalloc.start()
+    try:
+        base = tracemalloc.get_traced_memory()[0]
+        hashes = span_hashes(low, start, end)
+        peak = tracemalloc.get_traced_memory()[1] - base
+    finally:
+        tracemalloc.stop()
+    assert len(data) > 4_000_000 and peak < 10 * len(data) // 4 + (20 << 20)
+    picked = sorted(draw.sample(range(len(start)), 200)) + [len(start) - 2, len(start) - 1]
+    alone = [int(span_hashes(low, start[i:i + 1], end[i:i + 1])[0]) for i in picked]
+    assert [int(hashes[i]) for i in picked] == alone
