@@ -14,11 +14,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitf.llm.labelled import fold, logistic, sample, sigmoid
+from pitf.llm.labelled import fold, labelled_texts, logistic, newton, quantile, sigmoid
+from pitf.session import materialise
 from pitf.llm.textcore import chain, lowered, slices, span_hashes, text_bytes, words
 
-#: Labelled rows the weights are fitted on, at most, and pairs per rejected document.
-SAMPLE = 10_000
+#: Pairs per rejected document.
 PAIRS = 30
 
 
@@ -132,7 +132,40 @@ def score(docs: DataFrame, model: RankModel, text_col: str = "text", keep: tuple
     return texts.mapInArrow(_scorer(model), f"{fields}, _score double")
 
 
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches, "__pitf_text"):
+        x = measures(batch.column(batch.num_columns - 1))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(x[:, i], pa.float64()) for i in range(x.shape[1]))],
+                                         [*batch.schema.names[:-1], *(f"_m{i}" for i in range(x.shape[1]))])
+
+
 def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, label: str = "quality") -> RankModel:
-    """Fit on at most ``SAMPLE`` labelled rows; see ``labelled.sample``."""
+    """Fit on every usable labelled row, on Spark: the same model as ``fit``, with pairs drawn by the hash of ids."""
     usable = fold("doc_id", 3) != 1 if usable is None else usable
-    return fit(sample(docs, labels, label, usable, SAMPLE))
+    rows = labelled_texts(docs, labels, label, usable)
+    n_measures = measures(pa.array([""], pa.large_string())).shape[1]
+    names = [f"_m{i}" for i in range(n_measures)]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
+    x = materialise(rows.mapInArrow(_measured, f"{fields}, {', '.join(f'{m} double' for m in names)}"), "quality_measures")
+    counts = x.agg(F.count(F.lit(1)).alias("n"), F.sum("_label").alias("good")).first()
+    n, n_good = counts["n"], int(counts["good"] or 0)
+    if not n:
+        return fit([])
+    spread = np.array(list(x.agg(*(F.stddev_pop(m) for m in names)).first()), float) + 1e-6
+    middle = np.array([quantile(x, m, .5, n) for m in names])
+    if not n_good or n_good == n:
+        return RankModel(middle, spread, np.zeros(3 * n_measures), -30.0 if n_good else 30.0, 1.0)
+    z = [F.least(F.greatest((F.col(m) - float(middle[i])) / float(spread[i]), F.lit(-8.0)), F.lit(8.0)) for i, m in enumerate(names)]
+    z = z + [F.greatest(c - .5, F.lit(0.0)) for c in z] + [F.greatest(-c - .5, F.lit(0.0)) for c in z]
+    zs = x.select("doc_id", "_label", F.array(*z).alias("_z"))
+    good = zs.where("_label = 1").select("_z").rdd.zipWithIndex().map(lambda r: (r[1], r[0][0])).toDF("_i bigint, _g array<double>")
+    pairs = (zs.where("_label = 0").select("doc_id", "_z", F.explode(F.sequence(F.lit(0), F.lit(PAIRS - 1))).alias("_j"))
+             .withColumn("_i", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "_j"), F.lit(n_good)))
+             .join(good, "_i").select(F.zip_with("_g", "_z", lambda a, b: a - b).alias("_x"), F.lit(1.0).alias("_y")))
+    weights = newton(materialise(pairs, "quality_pairs"), 3 * n_measures, ridge=1e-3)
+    raw = F.aggregate(F.zip_with("_z", F.array(*(F.lit(float(w)) for w in weights)), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
+    scored = materialise(zs.select(raw.alias("_raw"), F.col("_label").cast("double").alias("_y")), "quality_raw")
+    threshold = quantile(scored, "_raw", (n - n_good) / n, n)
+    # Monotone stretch of the margin to a probability; the ranking and the threshold stay as they are.
+    scale = float(newton(scored.select(F.array(F.col("_raw") - threshold).alias("_x"), "_y"), 1, ridge=1e-6)[0])
+    return RankModel(middle, spread, weights, threshold, max(scale, 1e-3))
