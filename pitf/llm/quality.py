@@ -159,9 +159,10 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column | None = None, labe
     z = z + [F.greatest(c - .5, F.lit(0.0)) for c in z] + [F.greatest(-c - .5, F.lit(0.0)) for c in z]
     zs = x.select("doc_id", "_label", F.array(*z).alias("_z"))
     good = zs.where("_label = 1").select("_z").rdd.zipWithIndex().map(lambda r: (r[1], r[0][0])).toDF("_i bigint, _g array<double>")
+    # Spark counts an array as one element: the planner's estimate of the pairs is far too low for a broadcast.
     pairs = (zs.where("_label = 0").select("doc_id", "_z", F.explode(F.sequence(F.lit(0), F.lit(PAIRS - 1))).alias("_j"))
              .withColumn("_i", F.pmod(F.xxhash64(F.col("doc_id").cast("string"), "_j"), F.lit(n_good)))
-             .join(good, "_i").select(F.zip_with("_g", "_z", lambda a, b: a - b).alias("_x"), F.lit(1.0).alias("_y")))
+             .join(good.hint("merge"), "_i").select(F.zip_with("_g", "_z", lambda a, b: a - b).alias("_x"), F.lit(1.0).alias("_y")))
     weights = newton(materialise(pairs, "quality_pairs"), 3 * n_measures, ridge=1e-3)
     raw = F.aggregate(F.zip_with("_z", F.array(*(F.lit(float(w)) for w in weights)), lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
     scored = materialise(zs.select(raw.alias("_raw"), F.col("_label").cast("double").alias("_y")), "quality_raw")
