@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 
 from pitf.operators import scorecard as sc
 from pitf.operators.model import GRADIENT_BOOSTING, LOGISTIC, ModelPolicy, build_pipeline, score
+from pitf.session import prepare
 
 NAMES = ("steady", "skewed", "constant")
 POLICY = ModelPolicy(n_estimators=12, max_depth=4)
 
 
+@pytest.fixture(scope="module")
+def spark(spark):
+    """This module's own session: after an observation here the other modules' fitted models would not score."""
+    return prepare(spark.newSession())
+
+
 @pytest.fixture(scope="module")
 def people(spark):
     rng = np.random.default_rng(11)
